@@ -53,9 +53,9 @@ _USERS_SQL = f"""
     SELECT user_id, user_id % 5 AS cohort,
            CAST(greatest(1, CASE WHEN h < {FOLLOW_UP} THEN h ELSE {FOLLOW_UP} END) AS INTEGER) AS duration,
            CAST(COALESCE(h < {FOLLOW_UP}, false) AS INTEGER) AS event
-    FROM (SELECT user_id, (MIN(CASE WHEN event_type = 'purchase' AND at > start THEN at END) - any_value(start)) // 3600 AS h
-          FROM (SELECT *, MIN(CASE WHEN event_type = 'signup' THEN at END) OVER (PARTITION BY user_id) AS start
-                FROM (SELECT user_id, event_type, CAST(floor(epoch(ts)) AS BIGINT) AS at FROM events))
+    FROM (SELECT user_id, (MIN(CASE WHEN event_type = 'purchase' AND sec > start THEN sec END) - any_value(start)) // 3600 AS h
+          FROM (SELECT *, MIN(CASE WHEN event_type = 'signup' THEN sec END) OVER (PARTITION BY user_id) AS start
+                FROM (SELECT user_id, event_type, CAST(floor(epoch(ts)) AS BIGINT) AS sec FROM events))
           WHERE start IS NOT NULL GROUP BY user_id)"""
 
 
@@ -70,11 +70,11 @@ def _life_sql(source: str, *strata: tuple[str, str]) -> str:
                    FROM fanned GROUP BY 1, 2, 3),
         life AS (SELECT *, CAST(SUM(d + c) OVER (PARTITION BY stratum_kind, stratum ORDER BY duration DESC
                         ROWS UNBOUNDED PRECEDING) AS BIGINT) AS at_risk FROM counts),
-        steps AS (SELECT *, product(1 - d / at_risk) OVER (PARTITION BY stratum_kind, stratum ORDER BY duration
-                        ROWS UNBOUNDED PRECEDING) AS s FROM life WHERE d > 0),
+        steps AS (SELECT *, list_product(list(1 - d / at_risk) OVER (PARTITION BY stratum_kind, stratum ORDER BY duration
+                        ROWS UNBOUNDED PRECEDING)) AS s FROM life WHERE d > 0),
         totals AS (SELECT stratum_kind, stratum, SUM(d + c)::BIGINT AS total_cases, SUM(d)::BIGINT AS events_count,
                           SUM(c)::BIGINT AS censored_count, MAX(duration) AS last_duration FROM counts GROUP BY 1, 2),
-        curve AS (SELECT stratum_kind, stratum, duration AS t, ROUND(s, 4) AS survival FROM steps
+        curve AS (SELECT stratum_kind, stratum, duration AS t, round_even(s, 4) AS survival FROM steps
                   UNION ALL SELECT stratum_kind, stratum, 0, 1.0 FROM totals
                   UNION ALL SELECT stratum_kind, stratum, last_duration, 1.0 FROM totals WHERE events_count = 0),
         medians AS (SELECT stratum_kind, stratum, MIN(duration) FILTER (WHERE s <= 0.5) AS median_days FROM steps GROUP BY 1, 2),

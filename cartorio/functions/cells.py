@@ -16,8 +16,8 @@ def null_tokens(cell: Column) -> Column:
 
 
 def trim_text(cell: Column) -> Column:
-    """Without leading and trailing whitespace of any kind (``trim`` only takes spaces)."""
-    return F.regexp_replace(cell, r"(?U)^\s+|\s+$", "")
+    """Without leading and trailing whitespace of any kind (plain ``trim`` only takes spaces)."""
+    return F.btrim(cell, F.lit(fixed.WHITESPACE))
 
 
 def upper_code(cell: Column) -> Column:
@@ -35,8 +35,8 @@ def safe_money(cell: Column) -> Column:
 
 
 def safe_date(cell: Column) -> Column:
-    """ISO date, NULL for anything else."""
-    return F.try_to_date(cell, "yyyy-MM-dd")
+    """ISO date, NULL for anything else; the cast needs no pattern once the shape is right."""
+    return F.when(cell.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), cell.try_cast("date"))
 
 
 def date_key(day: Column) -> Column:

@@ -5,6 +5,12 @@ from __future__ import annotations
 # Raw cells that mean NULL.
 NULL_TOKENS = ["", "NA", "N/A", "NULL", "null", "NaN"]
 
+# The characters with the Unicode White_Space property.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 # Case status.
 ACTIVE = "EM TRAMITAÇÃO"
 ARCHIVED = "BAIXADO"

@@ -11,7 +11,7 @@ from cartorio.functions import cells
 
 SEQ = "_seq"
 
-# how each declared cell kind is read, given the raw cell with null tokens removed
+# how each declared kind of cell is read once null tokens are gone
 _READERS: dict[str, Callable[[Column], Column]] = {
     "text": cells.trim_text,
     "code": cells.upper_code,
@@ -35,12 +35,13 @@ def typed_columns(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
     missing = [c for c in kinds if c not in df.columns]
     if missing:
         raise ValueError(f"raw table lacks columns {missing}")
-    declared = [_READERS[kind](cells.null_tokens(F.col(c))).alias(c) for c, kind in kinds.items()]
-    extra = [
+    # tokens first, in a step of their own: the readers below use a cell more than once
+    known = df.select(*[
         F.col(c) if c == SEQ else cells.null_tokens(F.col(c)).alias(c)
-        for c in df.columns if c not in kinds
-    ]
-    return df.select(*declared, *extra)
+        for c in [*kinds, *(c for c in df.columns if c not in kinds)]
+    ])
+    return known.select(*[
+        _READERS[kinds[c]](F.col(c)).alias(c) if c in kinds else F.col(c) for c in known.columns])
 
 
 def dedup_keep_first(df: DataFrame, key: str | Sequence[str], seq: str | Sequence[str] = SEQ) -> DataFrame:

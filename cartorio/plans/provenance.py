@@ -17,9 +17,9 @@ def _now() -> str:
     return datetime.now(timezone.utc).isoformat()
 
 
-def record_counts(records: DataFrame) -> DataFrame:
-    """Records per landing file, from any file-based frame (quoted line breaks are not records)."""
-    return records.groupBy(F.col("_seq.file").alias("file_path")).agg(F.count("*").alias("row_count"))
+def record_counts(records: DataFrame, file: str = "_seq.file") -> DataFrame:
+    """Records per landing file (a quoted line break does not make a record)."""
+    return records.groupBy(F.col(file).alias("file_path")).agg(F.count("*").alias("row_count"))
 
 
 def path_key(column: str) -> Column:
@@ -72,6 +72,12 @@ def latest_manifest(manifest: DataFrame) -> DataFrame:
     return last.select("dataset_name", "last.*").select(*manifest.columns)
 
 
+def latest_ingestion(manifest: DataFrame) -> DataFrame:
+    """All file rows of each dataset's last ingestion; its files share one time."""
+    last = manifest.groupBy("dataset_name").agg(F.max("download_timestamp").alias("download_timestamp"))
+    return manifest.join(last, ["dataset_name", "download_timestamp"], "left_semi")
+
+
 # ---------------------------------------------------------------- lineage
 
 

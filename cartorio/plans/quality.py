@@ -12,7 +12,7 @@ from cartorio.functions import fixed
 from cartorio.functions.cells import count_where
 from cartorio.operators.checks import COLUMNS, FAIL, PASS, Check, check_rows, duplicate_count, side_by_side, text
 from cartorio.operators.joins import decisions_per_case
-from cartorio.plans.provenance import latest_manifest, path_key
+from cartorio.plans.provenance import latest_ingestion, path_key
 from cartorio.sources.manifest import file_sha256
 
 STATES = sorted(s for states in fixed.STATES_BY_REGION.values() for s in states)
@@ -201,8 +201,8 @@ def missing_table(spark: SparkSession, dataset: str, path: str) -> DataFrame:
 
 
 def check_checksums(manifest: DataFrame, hashes: DataFrame) -> DataFrame:
-    """Latest manifest row of each dataset against the hash of the file it names."""
-    latest = latest_manifest(manifest).select("dataset_name", "file_path", "file_hash_sha256")
+    """The files of each dataset's last ingestion against their hashes now."""
+    latest = latest_ingestion(manifest).select("dataset_name", "file_path", "file_hash_sha256")
     now = hashes.select(path_key("file_path").alias("_path"), F.col("file_hash_sha256").alias("computed"))
     joined = latest.withColumn("_path", path_key("file_path")).join(now, "_path", "left")
     missing, same = F.col("computed").isNull(), F.col("computed") == F.col("file_hash_sha256")

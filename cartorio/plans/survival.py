@@ -85,12 +85,12 @@ def same_stratum(left: DataFrame, right: DataFrame, how: str = "inner") -> DataF
 
 
 def km_curve(counts: DataFrame) -> DataFrame:
-    """Step curve: (0, 1.0), then the rounded probability at each event time.
+    """Step curve: (0, 1.0), then the probability at each event time, ties rounded to even.
 
     A stratum without events has the two points (0, 1.0) and (longest duration, 1.0).
     """
     steps = survival_steps(life_table(counts)).select(
-        *_STRATUM, F.col("duration").alias("t"), F.round("s", 4).alias("survival"))
+        *_STRATUM, F.col("duration").alias("t"), F.bround("s", 4).alias("survival"))
     ends = stratum_totals(counts).select(*_STRATUM, F.explode(
         F.when(F.col("events_count") > 0, F.array(F.lit(0)))
         .otherwise(F.array(F.lit(0), F.col("last_duration")))).alias("t"), F.lit(1.0).alias("survival"))
