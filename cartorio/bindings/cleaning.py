@@ -15,37 +15,36 @@ from cartorio.plans import silver
 # ---------------------------------------------------------------- dirt, the same on both sides
 
 
-def _cases(k: Column, mod: int, cases: dict[int, Column], other: Column) -> Column:
-    out = other
-    for i, value in cases.items():
-        out = F.when(k % mod == i, value).otherwise(out)
-    return out
+def _pick(k: Column, mod: int, values: dict[int, str]) -> Column:
+    """Literal for ``k % mod``, NULL where there is none; a constant array keeps the code small."""
+    return F.get(F.array(*[F.lit(values.get(i)) for i in range(mod)]).cast("array<string>"), (k % mod).cast("int"))
+
+
+def _dirty(x: Column, k: Column, mod: int, instead: dict[int, str], before: dict[int, str], after: dict[int, str]) -> Column:
+    around = F.concat(
+        F.coalesce(_pick(k, mod, before), F.lit("")), x, F.coalesce(_pick(k, mod, after), F.lit(""))) if (
+        before or after) else x
+    return F.coalesce(_pick(k, mod, instead), around)
 
 
 def dirty_text(x: Column, k: Column) -> Column:
-    return _cases(k, 11, {
-        0: F.concat(F.lit("  "), x, F.lit(" ")), 1: F.concat(F.lit("\t"), x, F.lit("\n")), 2: F.lit("NA"),
-        3: F.lit(" NA "), 4: F.lit(""), 5: F.lit("null")}, x)
+    return _dirty(x, k, 11, {2: "NA", 3: " NA ", 4: "", 5: "null"}, {0: "  ", 1: "\t"}, {0: " ", 1: "\n"})
 
 
 def dirty_key(x: Column, k: Column) -> Column:
-    return _cases(k, 23, {0: F.concat(F.lit(" "), x), 1: F.concat(x, F.lit("\t")), 2: F.lit("NULL")}, x)
+    return _dirty(x, k, 23, {2: "NULL"}, {0: " "}, {1: "\t"})
 
 
 def dirty_date(x: Column, k: Column) -> Column:
-    return _cases(k, 13, {
-        0: F.lit("31/12/1999"), 1: F.concat(F.lit(" "), x), 2: F.lit("2024-1-5"), 3: F.lit("2023-02-30"),
-        4: F.lit("NaN")}, x)
+    return _dirty(x, k, 13, {0: "31/12/1999", 2: "2024-1-5", 3: "2023-02-30", 4: "NaN"}, {1: " "}, {})
 
 
 def dirty_int(x: Column, k: Column) -> Column:
-    return _cases(k, 7, {
-        0: F.lit("abc"), 1: F.lit("12.5"), 2: F.lit(" 7"), 3: F.lit("99999999999999999999"), 4: F.lit("N/A")}, x)
+    return _dirty(x, k, 7, {0: "abc", 1: "12.5", 2: " 7", 3: "99999999999999999999", 4: "N/A"}, {}, {})
 
 
 def dirty_money(x: Column, k: Column) -> Column:
-    return _cases(k, 9, {
-        0: F.lit("abc"), 1: F.lit("N/A"), 2: F.lit("-12.50"), 3: F.lit("1e3"), 4: F.lit(" 5.0"), 5: F.lit("")}, x)
+    return _dirty(x, k, 9, {0: "abc", 1: "N/A", 2: "-12.50", 3: "1e3", 4: " 5.0", 5: ""}, {}, {})
 
 
 def _sql_cases(k: str, mod: int, cases: dict[int, str], other: str) -> str:

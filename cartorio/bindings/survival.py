@@ -91,6 +91,10 @@ def _sql(body: str, *strata: tuple[str, str], more: str = "") -> str:
     return with_views(body, "fact_processes", "fact_decisions", more=ctes)
 
 
+def _same(a: str, c: str) -> str:
+    return f"{a}.stratum_kind = {c}.stratum_kind AND {a}.stratum IS NOT DISTINCT FROM {c}.stratum"
+
+
 def _counts(spark, d) -> DataFrame:
     return km.life_counts(cases(spark, d), **{km.CLASS: "classe_sigla", km.JUDGE: "relator"})
 
@@ -117,7 +121,7 @@ def _(spark, d):
 
 @register("km_running_product", _sql("SELECT stratum_kind, stratum, duration, ROUND(s, 6) AS s FROM steps", *_BOTH))
 def _(spark, d):
-    return km.survival_steps(km.life_table(_counts(spark, d))).select(
+    return km.survival_steps(km.life_table(_counts(spark, d))).where("d > 0").select(
         "stratum_kind", "stratum", "duration", F.round("s", 6).alias("s"))
 
 
@@ -126,7 +130,7 @@ def _(spark, d):
     return km.km_curve(km.life_counts(cases(spark, d)))
 
 
-@register("km_median", _sql("SELECT * FROM medians", *_BOTH))
+@register("km_median", _sql(f"SELECT t.stratum_kind, t.stratum, median_days FROM totals t LEFT JOIN medians d ON {_same('t', 'd')}", *_BOTH))
 def _(spark, d):
     return km.km_median(_counts(spark, d))
 
@@ -160,9 +164,6 @@ _TOP = """top AS (SELECT stratum_kind, stratum FROM (SELECT *, row_number() OVER
 _IN_TOP = "EXISTS (SELECT 1 FROM top WHERE top.stratum_kind = {0}.stratum_kind AND top.stratum IS NOT DISTINCT FROM {0}.stratum)"
 
 
-def _same(a: str, c: str) -> str:
-    return f"{a}.stratum_kind = {c}.stratum_kind AND {a}.stratum IS NOT DISTINCT FROM {c}.stratum"
-
 
 @register("km_by_class", _sql(f"""
     SELECT t.stratum AS classe_sigla, total_cases, events_count, censored_count, median_days,
@@ -195,7 +196,7 @@ _STATUS = [("status", "situacao")]
     WHERE c.stratum_kind = 'status'""", *_STATUS))
 def _(spark, d):
     counts = km.life_counts(cases(spark, d), status="situacao").where("stratum_kind = 'status'")
-    rows = km.same_stratum(km.same_stratum(km.km_curve(counts), km.km_counts(counts)), km.km_median(counts), "left")
+    rows = km.km_points(counts)
     return rows.select("stratum", "t", "survival", "median_days", "events_count")
 
 

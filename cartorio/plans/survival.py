@@ -1,7 +1,7 @@
 """Kaplan-Meier backlog survival: overall and by stratum, in one plan.
 
 Case rows are only joined and counted; all windows run over life tables, which hold one row per
-stratum and distinct duration.
+stratum and distinct duration, and they share one partitioning and one sort order.
 """
 
 from __future__ import annotations
@@ -54,109 +54,163 @@ def life_counts(cases: DataFrame, **strata: str) -> DataFrame:
     )
 
 
+def _rows(first: int, last: int) -> Window:
+    return Window.partitionBy(*_STRATUM).orderBy("duration").rowsBetween(first, last)
+
+
+_WHOLE = (Window.unboundedPreceding, Window.unboundedFollowing)
+
+
 def life_table(counts: DataFrame) -> DataFrame:
-    """Adds ``at_risk``, the cases whose duration is at least the row's."""
-    down = Window.partitionBy(*_STRATUM).orderBy(F.desc("duration")).rowsBetween(Window.unboundedPreceding, 0)
-    return counts.withColumn("at_risk", F.sum(F.col("d") + F.col("c")).over(down))
+    """Adds ``at_risk``, the cases whose duration is at least the row's: all less those before."""
+    n = F.col("d") + F.col("c")
+    before = F.sum(n).over(_rows(Window.unboundedPreceding, -1))
+    return counts.withColumn("at_risk", F.sum(n).over(_rows(*_WHOLE)) - F.coalesce(before, F.lit(0)))
 
 
 def survival_steps(table: DataFrame) -> DataFrame:
-    """Adds the unrounded survival probability ``s`` at each event time."""
-    up = Window.partitionBy(*_STRATUM).orderBy("duration").rowsBetween(Window.unboundedPreceding, 0)
-    return table.where("d > 0").withColumn("s", F.product(1 - F.col("d") / F.col("at_risk")).over(up))
+    """Adds the unrounded survival probability ``s`` after each duration.
 
+    A duration without events has the factor 1, so it repeats the probability before it.
+    """
+    return table.withColumn("s", F.product(1 - F.col("d") / F.col("at_risk")).over(
+        _rows(Window.unboundedPreceding, Window.currentRow)))
 
-def stratum_totals(counts: DataFrame) -> DataFrame:
-    """Cases, events and censored cases per stratum, with the longest duration."""
-    return counts.groupBy(*_STRATUM).agg(
-        F.sum(F.col("d") + F.col("c")).alias("total_cases"),
-        F.sum("d").alias("events_count"),
-        F.sum("c").alias("censored_count"),
-        F.max("duration").alias("last_duration"),
-    )
 
+def _median() -> Column:
+    """First event time at which the unrounded probability is at most one half."""
+    return F.min(F.when((F.col("d") > 0) & (F.col("s") <= 0.5), F.col("duration")))
 
-def same_stratum(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
-    """Join on the stratum, where a NULL stratum is a stratum like any other."""
-    other = right.select(F.col("stratum_kind").alias("_kind"), F.col("stratum").alias("_stratum"),
-                         *[c for c in right.columns if c not in _STRATUM])
-    same = (F.col("stratum_kind") == F.col("_kind")) & F.col("stratum").eqNullSafe(F.col("_stratum"))
-    return left.join(other, same, how).drop("_kind", "_stratum")
 
+def _rounded() -> Column:
+    # ties to even, as the published curves are rounded
+    return F.bround("s", 4)
 
-def km_curve(counts: DataFrame) -> DataFrame:
-    """Step curve: (0, 1.0), then the probability at each event time, ties rounded to even.
 
-    A stratum without events has the two points (0, 1.0) and (longest duration, 1.0).
+def km_points(counts: DataFrame) -> DataFrame:
+    """Curve points, each with its stratum's cases, events, censored cases and median.
+
+    The curve starts at (0, 1.0) and steps at each event time. A stratum without events has two
+    points, the other being (longest duration, 1.0).
     """
-    steps = survival_steps(life_table(counts)).select(
-        *_STRATUM, F.col("duration").alias("t"), F.bround("s", 4).alias("survival"))
-    ends = stratum_totals(counts).select(*_STRATUM, F.explode(
-        F.when(F.col("events_count") > 0, F.array(F.lit(0)))
-        .otherwise(F.array(F.lit(0), F.col("last_duration")))).alias("t"), F.lit(1.0).alias("survival"))
-    return steps.unionByName(ends)
+    whole = _rows(*_WHOLE)
+    steps = survival_steps(life_table(counts)).withColumns({
+        "total_cases": F.sum(F.col("d") + F.col("c")).over(whole),
+        "events_count": F.sum("d").over(whole),
+        "censored_count": F.sum("c").over(whole),
+        "median_days": _median().over(whole),
+        "_first": F.row_number().over(Window.partitionBy(*_STRATUM).orderBy("duration")) == 1,
+        "_last": F.max("duration").over(whole) == F.col("duration"),
+    })
+
+    def point(t: Column, survival: Column) -> Column:
+        return F.struct(t.alias("t"), survival.alias("survival"))
+
+    points = F.array_compact(F.array(
+        F.when(F.col("_first"), point(F.lit(0), F.lit(1.0))),
+        F.when(F.col("d") > 0, point(F.col("duration"), _rounded())),
+        F.when(F.col("_last") & (F.col("events_count") == 0), point(F.col("duration"), F.lit(1.0))),
+    ))
+    stats = ["total_cases", "events_count", "censored_count", "median_days"]
+    return steps.select(*_STRATUM, *stats, F.inline(points)).select(*_STRATUM, "t", "survival", *stats)
 
 
-def km_median(counts: DataFrame) -> DataFrame:
-    """First time at which the unrounded probability is at most one half, NULL if it never is."""
+def km_curve(counts: DataFrame) -> DataFrame:
+    """Step curve of each stratum, probabilities to four places."""
+    return km_points(counts).select(*_STRATUM, "t", "survival")
+
+
+def _milestone(m: int) -> Column:
+    """Rounded probability of the last event step up to ``m`` days, 1.0 before the first."""
+    reached = (F.col("d") > 0) & (F.col("duration") <= m)
+    last = F.max_by(F.when(reached, _rounded()), F.when(reached, F.col("duration")))
+    return F.coalesce(last, F.lit(1.0)).alias(f"m{m}")
+
+
+def stratum_stats(counts: DataFrame, milestones: list[int] = fixed.MILESTONE_DAYS) -> DataFrame:
+    """One row per stratum: counts, median and a column ``m<days>`` per milestone."""
     return survival_steps(life_table(counts)).groupBy(*_STRATUM).agg(
-        F.min(F.when(F.col("s") <= 0.5, F.col("duration"))).alias("median_days"))
+        F.sum(F.col("d") + F.col("c")).alias("total_cases"),
+        F.sum("d").alias("events_count"),
+        F.sum("c").alias("censored_count"),
+        _median().alias("median_days"),
+        *[_milestone(m) for m in milestones],
+    )
+
+
+def km_median(counts: DataFrame) -> DataFrame:
+    """Median duration, NULL where the probability never falls to one half."""
+    return stratum_stats(counts, []).select(*_STRATUM, "median_days")
 
 
 def km_milestones(counts: DataFrame, milestones: list[int] = fixed.MILESTONE_DAYS) -> DataFrame:
-    """Rounded probability at each milestone: that of the last step up to it, else 1.0."""
-    curve = km_curve(counts)
-    at = [F.max_by(F.when(F.col("t") <= m, F.col("survival")), F.when(F.col("t") <= m, F.col("t"))) for m in milestones]
-    wide = curve.groupBy(*_STRATUM).agg(*[F.coalesce(x, F.lit(1.0)).alias(f"m{m}") for x, m in zip(at, milestones)])
+    """Rounded probability at each milestone, one row each."""
     pairs = ", ".join(f"{m}, m{m}" for m in milestones)
-    return wide.select(*_STRATUM, F.expr(f"stack({len(milestones)}, {pairs}) as (milestone_days, survival)"))
+    return stratum_stats(counts, milestones).select(
+        *_STRATUM, F.expr(f"stack({len(milestones)}, {pairs}) as (milestone_days, survival)"))
 
 
 def km_counts(counts: DataFrame) -> DataFrame:
-    return stratum_totals(counts).drop("last_duration")
+    """Cases, events and censored cases per stratum."""
+    return counts.groupBy(*_STRATUM).agg(
+        F.sum(F.col("d") + F.col("c")).alias("total_cases"),
+        F.sum("d").alias("events_count"),
+        F.sum("c").alias("censored_count"),
+    )
 
 
 def km_subsample(curve: DataFrame, max_points: int | Column) -> DataFrame:
     """At most about ``max_points`` points per stratum: every n-th from the first, and the last."""
     limit = F.lit(max_points) if isinstance(max_points, int) else max_points
     ordered = Window.partitionBy(*_STRATUM).orderBy("t")
-    whole = Window.partitionBy(*_STRATUM)
-    numbered = curve.withColumns({"_i": F.row_number().over(ordered) - 1, "_n": F.count("*").over(whole)})
+    numbered = curve.withColumns({
+        "_i": F.row_number().over(ordered) - 1,
+        "_n": F.count("*").over(ordered.rowsBetween(*_WHOLE)),
+    })
     step = F.when(F.col("_n") > limit, F.floor(F.col("_n") / limit)).otherwise(F.lit(1))
     return numbered.where((F.col("_i") % step == 0) | (F.col("_i") == F.col("_n") - 1)).drop("_i", "_n")
 
 
-def largest_strata(counts: DataFrame, kind: str, k: int, skip_blank: bool = False) -> DataFrame:
-    """Life counts of the ``k`` largest strata of a kind; blank names go only after the limit."""
-    of_kind = counts.where(F.col("stratum_kind") == kind)
-    top = stratum_totals(of_kind).orderBy(F.desc("total_cases"), "stratum").limit(k)
-    if skip_blank:
-        top = top.where("stratum is not null and stratum <> ''")
-    return same_stratum(of_kind, top.select(*_STRATUM))
+def largest_strata(counts: DataFrame, sizes: dict[str, int], skip_blank: str | None = None) -> DataFrame:
+    """Life counts of the largest strata: ``sizes`` gives how many of each kind.
+
+    Blank names of the kind ``skip_blank`` go only after the limit. The list of kept strata has at
+    most the sum of ``sizes`` rows, so it is broadcast.
+    """
+    totals = counts.groupBy(*_STRATUM).agg(F.sum(F.col("d") + F.col("c")).alias("_cases"))
+    rank = F.row_number().over(Window.partitionBy("stratum_kind").orderBy(F.desc("_cases"), "stratum"))
+    wanted = F.create_map(*[F.lit(x) for kv in sizes.items() for x in kv])
+    top = totals.withColumn("_rank", rank).where(
+        (F.col("_rank") <= max(sizes.values())) & (F.col("_rank") <= F.try_element_at(wanted, F.col("stratum_kind"))))
+    if skip_blank is not None:
+        top = top.where((F.col("stratum_kind") != skip_blank) | (F.coalesce("stratum", F.lit("")) != ""))
+    top = F.broadcast(top.select(F.col("stratum_kind").alias("_kind"), F.col("stratum").alias("_name")))
+    same = (F.col("stratum_kind") == F.col("_kind")) & F.col("stratum").eqNullSafe(F.col("_name"))
+    return counts.join(top, same, "left_semi")
 
 
 def km_summary(counts: DataFrame, milestones: list[int] = fixed.MILESTONE_DAYS) -> DataFrame:
     """One row per stratum: counts, median and a map of milestone probabilities."""
-    at = km_milestones(counts, milestones).groupBy(*_STRATUM).agg(F.map_from_entries(F.sort_array(F.collect_list(
-        F.struct(F.concat(F.col("milestone_days").cast("string"), F.lit("_days")), "survival"))
-    )).alias("milestone_survival"))
-    totals = km_counts(counts)
-    return same_stratum(same_stratum(totals, km_median(counts), "left"), at)
+    pairs = [x for m in milestones for x in (F.lit(f"{m}_days"), F.col(f"m{m}"))]
+    return stratum_stats(counts, milestones).withColumn("milestone_survival", F.create_map(*pairs)).drop(
+        *[f"m{m}" for m in milestones])
 
 
 def km_by_class(cases: DataFrame, k: int = 5) -> DataFrame:
     """Summary of the largest classes."""
-    return km_summary(largest_strata(life_counts(cases, **{CLASS: "classe_sigla"}), CLASS, k))
+    return km_summary(largest_strata(life_counts(cases, **{CLASS: "classe_sigla"}), {CLASS: k}))
+
+
+def _short_name() -> Column:
+    return F.replace(F.col("stratum"), F.lit("Min. "), F.lit(""))
 
 
 def km_by_judge(cases: DataFrame, k: int = 11) -> DataFrame:
     """Median, cases and one-year retention of the largest caseloads, judges by short name."""
-    top = largest_strata(life_counts(cases, **{JUDGE: "relator"}), JUDGE, k, skip_blank=True)
-    year = km_milestones(top, [365]).select(*_STRATUM, F.round(F.col("survival") * 100, 1).alias("one_year_retention_pct"))
-    rows = same_stratum(same_stratum(km_counts(top), km_median(top), "left"), year)
-    return rows.select(
-        F.replace(F.col("stratum"), F.lit("Min. "), F.lit("")).alias("judge"),
-        "median_days", "total_cases", "one_year_retention_pct")
+    top = largest_strata(life_counts(cases, **{JUDGE: "relator"}), {JUDGE: k}, skip_blank=JUDGE)
+    return stratum_stats(top, [365]).select(
+        _short_name().alias("judge"), "median_days", "total_cases",
+        F.round(F.col("m365") * 100, 1).alias("one_year_retention_pct"))
 
 
 def survival_overview(cases: DataFrame, classes: int = 5, judges: int = 11) -> DataFrame:
@@ -166,14 +220,6 @@ def survival_overview(cases: DataFrame, classes: int = 5, judges: int = 11) -> D
     points as the published overview does.
     """
     counts = life_counts(cases, **{CLASS: "classe_sigla", JUDGE: "relator"})
-    kept = (
-        counts.where(F.col("stratum_kind") == GLOBAL)
-        .unionByName(largest_strata(counts, CLASS, classes))
-        .unionByName(largest_strata(counts, JUDGE, judges, skip_blank=True))
-    )
+    kept = largest_strata(counts, {GLOBAL: 1, CLASS: classes, JUDGE: judges}, skip_blank=JUDGE)
     points = F.when(F.col("stratum_kind") == GLOBAL, 40).when(F.col("stratum_kind") == CLASS, 20).otherwise(15)
-    curve = km_subsample(km_curve(kept), points)
-    stats = same_stratum(km_counts(kept), km_median(kept), "left")
-    return same_stratum(curve, stats).withColumn(
-        "stratum", F.replace(F.col("stratum"), F.lit("Min. "), F.lit(""))
-    ).select(*_STRATUM, "t", "survival", "total_cases", "events_count", "censored_count", "median_days")
+    return km_subsample(km_points(kept), points).withColumn("stratum", _short_name())
