@@ -61,7 +61,8 @@ _SQL_DIRT = {
                                           4: "'N/A'"}, x),
     "money": lambda x, k: _sql_cases(k, 9, {0: "'abc'", 1: "'N/A'", 2: "'-12.50'", 3: "'1e3'", 4: "' 5.0'", 5: "''"}, x),
 }
-_DIRT = {"text": dirty_text, "key": dirty_key, "date": dirty_date, "int": dirty_int, "money": dirty_money}
+_SQL_DIRT["plain"] = lambda x, k: x
+_DIRT = {"plain": lambda x, k: x, "text": dirty_text, "key": dirty_key, "date": dirty_date, "int": dirty_int, "money": dirty_money}
 
 # ---------------------------------------------------------------- reading cells, in SQL
 
@@ -145,10 +146,10 @@ _AMOUNT = "concat(CAST(CAST(l_quantity AS BIGINT) * {} AS VARCHAR(20)), '.25')"
 RAW = {
     "processes": Raw("orders", "o_orderkey", ["o_orderkey"], {
         "process_id": ("key", _text("o_orderkey")), "numero_processo": ("int", _text("o_custkey")),
-        "classe_sigla": ("text", "lower(o_orderpriority)"), "classe_descricao": ("text", "o_orderpriority"),
+        "classe_sigla": ("text", "lower(o_orderpriority)"), "classe_descricao": ("plain", "o_orderpriority"),
         "assunto": ("text", "concat(o_orderpriority, ' | ', o_orderstatus)"), "relator": ("text", _text("o_custkey % 11")),
         "data_autuacao": ("date", _day("o_orderdate")), "data_distribuicao": ("date", _day("o_orderdate")),
-        "uf_origem": ("text", "'sp'"), "orgao_julgador": ("text", "'Plenário'"), "situacao": ("text", "'em tramitação'"),
+        "uf_origem": ("text", "'sp'"), "orgao_julgador": ("plain", "'Plenário'"), "situacao": ("text", "'em tramitação'"),
     }, True),
     "decisions": Raw("lineitem", _LINE_NO, _LINE_ORDER, {
         "decision_id": ("key", _LINE_KEY), "process_id": ("text", _text("l_orderkey")),
@@ -156,8 +157,8 @@ RAW = {
         "data_decisao": ("date", _day("l_shipdate")),
         "tipo_decisao": ("text", "CASE l_returnflag WHEN 'N' THEN 'Decisão Monocrática' "
                                  "WHEN 'R' THEN 'Decisão da Presidência' ELSE 'Acórdão' END"),
-        "resultado": ("text", "l_linestatus"), "relator": ("text", _text("l_suppkey % 11")),
-        "orgao_colegiado": ("text", "l_returnflag"), "texto_resumo": ("text", _text("l_linenumber")),
+        "resultado": ("plain", "l_linestatus"), "relator": ("text", _text("l_suppkey % 11")),
+        "orgao_colegiado": ("plain", "l_returnflag"), "texto_resumo": ("plain", _text("l_linenumber")),
     }, False),
     "appeals": Raw("events", "event_id", ["event_id"], {
         "recurso_id": ("key", _text("event_id")), "process_id": ("text", _text("user_id")),
@@ -175,17 +176,17 @@ RAW = {
         "situacao_funcional": ("text", "'Ativo'"), "data_admissao": ("date", "'2011-12-13'"),
     }, True),
     "remuneration": Raw("lineitem", _LINE_NO, _LINE_ORDER, {
-        "remuneracao_id": ("key", _LINE_KEY), "matricula_hash": ("text", _text("l_suppkey")),
+        "remuneracao_id": ("key", _LINE_KEY), "matricula_hash": ("plain", _text("l_suppkey")),
         "competencia_ano": ("int", "'1998'"), "competencia_mes": ("int", _text("l_linenumber")),
-        "cargo": ("text", "l_returnflag"), "cargo_tipo": ("text", "l_linestatus"),
-        **{c: ("money", _AMOUNT.format(i)) for i, c in enumerate(
+        "cargo": ("plain", "l_returnflag"), "cargo_tipo": ("plain", "l_linestatus"),
+        **{c: ("money" if i % 3 else "plain", _AMOUNT.format(i)) for i, c in enumerate(
             ("remuneracao_paradigma", "vantagens_pessoais", "subsidio", "indenizacoes", "previdencia_e_ir",
              "abate_teto", "remuneracao_liquida"), 1)},
     }, False),
     "budget": Raw("lineitem", _LINE_NO, _LINE_ORDER, {
         "orcamento_id": ("key", _LINE_KEY), "ano_exercicio": ("int", "'1999'"), "programa_trabalho": ("text", "l_returnflag"),
-        "acao_orcamentaria": ("text", "l_linestatus"), "elemento_despesa": ("text", _text("l_linenumber")),
-        **{c: ("money", _AMOUNT.format(i)) for i, c in enumerate(
+        "acao_orcamentaria": ("plain", "l_linestatus"), "elemento_despesa": ("plain", _text("l_linenumber")),
+        **{c: ("money" if i % 3 else "plain", _AMOUNT.format(i)) for i, c in enumerate(
             ("dotacao_inicial", "dotacao_atualizada", "empenhado", "liquidado", "pago"), 2)},
     }, False),
 }
