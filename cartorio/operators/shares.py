@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 from cartorio.functions.cells import percent
 
 
-def share_of_total(df: DataFrame, by: list[str], count: str = "total", share: str = "percentual") -> DataFrame:
-    """Rows per group and the group's share of all rows in percent.
+def share_of_total(
+    df: DataFrame, by: list[str], count: str = "total", share: str = "percentual", weight: str | None = None,
+) -> DataFrame:
+    """Rows per group (or the sum of ``weight``) and the group's share of all rows in percent.
 
     The total is summed from the counted groups, whose shuffle Spark reuses, so the table is read
     once; an empty window would pull every group into one task instead.
     """
-    counts = df.groupBy(*by).agg(F.count("*").alias(count))
+    counts = df.groupBy(*by).agg((F.sum(weight) if weight else F.count("*")).alias(count))
     total = counts.agg(F.sum(count).alias("_total"))
     return (
         counts.crossJoin(F.broadcast(total))

@@ -149,12 +149,14 @@ def write_star_schema(
 ) -> dict[str, DataFrame]:
     """Write the curated tables and register each under its name.
 
-    ``by_year`` partitions the two large facts by year, so that year filters skip files.
+    ``by_year`` partitions the two large facts by year, so that year filters skip files. Rows are
+    rebalanced by year first: few files per year, and a year with very many rows is split.
     """
     written = {}
     for name, df in star_schema(spark, silver).items():
-        path = write_parquet_zstd(
-            df, f"{curated.rstrip('/')}/{name}", YEAR_PARTITIONS.get(name) if by_year else None)
+        years = YEAR_PARTITIONS.get(name) if by_year else None
+        rows = df.hint("rebalance", *years) if years else df
+        path = write_parquet_zstd(rows, f"{curated.rstrip('/')}/{name}", years)
         written[name] = spark.read.parquet(path).select(*df.columns)
         written[name].createOrReplaceTempView(name)
     return written

@@ -61,14 +61,15 @@ def executive_summary_rates(overview: DataFrame) -> DataFrame:
 
 
 def yearly_trends(processes: DataFrame, calendar: DataFrame, ascending: bool = True) -> DataFrame:
-    by_year = join_fact_dim_date(
-        processes.select("date_distribuicao_key", "situacao"), calendar, "date_distribuicao_key")
-    out = by_year.groupBy(F.col("year").alias("ano")).agg(
+    """Cases per year of distribution by status; cases are counted per day before the calendar join."""
+    per_day = processes.groupBy("date_distribuicao_key").agg(
         F.count("*").alias("total"),
         count_where(_status(fixed.ACTIVE)).alias("em_tramitacao"),
         count_where(_status(fixed.ARCHIVED)).alias("baixados"),
         count_where(_status(fixed.JUDGED)).alias("julgados"),
     )
+    out = join_fact_dim_date(per_day, calendar, "date_distribuicao_key").groupBy(F.col("year").alias("ano")).agg(
+        *[F.sum(c).alias(c) for c in ("total", "em_tramitacao", "baixados", "julgados")])
     return out.orderBy(F.asc("ano") if ascending else F.desc("ano"))
 
 
@@ -93,16 +94,22 @@ def status_distribution(processes: DataFrame) -> DataFrame:
         F.desc("total_processos"), "situacao")
 
 
+def _cases_per_state(processes: DataFrame, origin: DataFrame) -> DataFrame:
+    """Cases counted per state before the join, so that no state's rows meet in one task."""
+    per_state = processes.where("uf_origem is not null").groupBy("uf_origem").agg(F.count("*").alias("n"))
+    return join_fact_origin(per_state, origin)
+
+
 def cases_by_region_state(processes: DataFrame, origin: DataFrame, by_region: bool = True) -> DataFrame:
-    joined = join_fact_origin(processes.select("uf_origem"), origin)
-    out = joined.groupBy("regiao", "uf_origem").agg(F.count("*").alias("total_processos"))
+    out = _cases_per_state(processes, origin).groupBy("regiao", "uf_origem").agg(F.sum("n").alias("total_processos"))
     order = [F.desc("total_processos"), F.asc("uf_origem")]
     return out.orderBy(*([F.asc("regiao")] + order if by_region else order))
 
 
 def cases_by_region(processes: DataFrame, origin: DataFrame) -> DataFrame:
-    joined = join_fact_origin(processes.select("uf_origem"), origin)
-    return share_of_total(joined, ["regiao"], "total_processos").orderBy(F.desc("total_processos"), "regiao")
+    per_state = _cases_per_state(processes, origin)
+    return share_of_total(per_state, ["regiao"], "total_processos", weight="n").orderBy(
+        F.desc("total_processos"), "regiao")
 
 
 def disposed_vs_active_by_year(processes: DataFrame) -> DataFrame:
@@ -128,10 +135,10 @@ def decisions_by_category(decisions: DataFrame) -> DataFrame:
 
 
 def decisions_by_category_year(decisions: DataFrame, calendar: DataFrame) -> DataFrame:
-    joined = join_fact_dim_date(
-        decisions.select("date_decisao_key", "categoria_decisao"), calendar, "date_decisao_key")
+    per_day = decisions.groupBy("date_decisao_key", "categoria_decisao").agg(F.count("*").alias("n"))
+    joined = join_fact_dim_date(per_day, calendar, "date_decisao_key")
     return joined.groupBy(F.col("year").alias("ano_decisao"), "categoria_decisao").agg(
-        F.count("*").alias("total_decisoes")
+        F.sum("n").alias("total_decisoes")
     ).orderBy(F.desc("ano_decisao"), F.desc("total_decisoes"), "categoria_decisao")
 
 
