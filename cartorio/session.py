@@ -16,6 +16,9 @@ def build_session(app: str = "cartorio", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.parquet.compression.codec", "zstd")
+        # recording the Python call site of every column expression makes plans slow to build
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
         # retried reads of checkpoints must find what the first attempt wrote
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "false")
     )
