@@ -21,7 +21,8 @@ from cartorio.sources import bronze, manifest, sinks
 from cartorio.sources.tables import table_at, table_counts
 from cartorio.streaming import ingest
 
-PER_FILE = 4000
+# rows of a landing file: a thousandth of the table, within fixed bounds
+LEAST, MOST = 4000, 1_000_000
 
 # ---------------------------------------------------------------- landing
 
@@ -39,17 +40,19 @@ def land_raw(spark, d: str, name: str, path: str) -> str:
 
 
 def land_event_lines(spark, d: str) -> str:
-    """Events as text files of PER_FILE rows each, in folders ``part=<number>``."""
-    events = b.table(spark, d, "events").select(
-        F.expr(f"event_id div {PER_FILE}").alias("part"), "event_id",
+    """Events as text files in folders ``part=<number>``, one file each."""
+    events = b.table(spark, d, "events")
+    size = events.agg(F.greatest(F.lit(LEAST), F.least(F.lit(MOST), F.expr("count(*) div 1000"))).alias("per_file"))
+    lines = events.crossJoin(F.broadcast(size)).select(
+        F.expr("event_id div per_file").alias("part"), "event_id",
         F.concat_ws(",", "event_id", "user_id", "event_type").alias("value"))
     path = scratch_path(spark, "lines")
-    events.repartition("part").sortWithinPartitions("part", "event_id").select("part", "value").write.partitionBy(
+    lines.repartition("part").sortWithinPartitions("part", "event_id").select("part", "value").write.partitionBy(
         "part").text(path)
     return path
 
 
-_LINES_SQL = f"""SELECT event_id // {PER_FILE} AS part,
+_LINES_SQL = f"""SELECT event_id // (SELECT greatest({LEAST}, least({MOST}, COUNT(*) // 1000)) FROM events) AS part,
     string_agg(event_id || ',' || user_id || ',' || event_type, chr(10) ORDER BY event_id) || chr(10) AS body,
     COUNT(*) AS n FROM events GROUP BY 1"""
 
@@ -266,7 +269,7 @@ def _(spark, d):
     return spark.read.parquet(path).select("process_id", "relator", "data_distribuicao", "situacao")
 
 
-@register("delta_commit_actions", """SELECT 'commitInfo' AS action, 1 AS n, NULL::BIGINT AS num_records
+@register("delta_commit_actions", """SELECT 'commitInfo' AS action, CAST(1 AS BIGINT) AS n, NULL::BIGINT AS num_records
     UNION ALL SELECT 'protocol', 1, NULL UNION ALL SELECT 'metaData', 1, NULL
     UNION ALL SELECT 'add', 1, COUNT(*) FROM lineitem""")
 def _(spark, d):
@@ -274,7 +277,7 @@ def _(spark, d):
         F.count("*").alias("n"), F.sum("num_records").alias("num_records"))
 
 
-@register("iceberg_snapshot_summary", """SELECT 'append' AS operation, COUNT(*) AS total_records, 1 AS total_data_files,
+@register("iceberg_snapshot_summary", """SELECT 'append' AS operation, COUNT(*) AS total_records, CAST(1 AS BIGINT) AS total_data_files,
     11 AS n_fields, 2 AS format_version FROM lineitem""")
 def _(spark, d):
     summary = exports.iceberg_snapshot_summary(b.table(spark, d, "lineitem"))
@@ -345,7 +348,7 @@ def _(spark, d):
 
 
 @register("watermark_state", f"""SELECT 'recursos' AS dataset, CAST(MAX(day) AS VARCHAR) AS last_ingested_date,
-    MAX(event_id) AS max_id, 2 AS batches_count FROM ({_LANDED_SQL})
+    MAX(event_id) AS max_id, CAST(2 AS BIGINT) AS batches_count FROM ({_LANDED_SQL})
     UNION ALL SELECT 'orcamento', '{fixed.FIRST_WATERMARK}', 0, 0""")
 def _(spark, d):
     base, _ = _two_runs(spark, d)

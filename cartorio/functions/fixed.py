@@ -73,3 +73,36 @@ ENTITY_DATASETS = {
     "recursos": "recursos",
     "repercussao_geral": "repercussao_geral",
 }
+
+# Messages of the quality checks, failed and passed; braces name measured figures.
+CHECK_MESSAGES = {
+    "unique_key": ("Found {duplicates} duplicate {key} entries.", "All {key} values are unique."),
+    "not_null_critical_fields": (
+        "Null check: {null_ids} null IDs, {null_dates} null distribution dates.",
+        "Null check: {null_ids} null IDs, {null_dates} null distribution dates."),
+    "reasonable_dates": (
+        "{odd_years} processes have unreasonable distribution dates.",
+        "{odd_years} processes have unreasonable distribution dates."),
+    "temporal_scope": (
+        "Violação de escopo temporal em {dataset}: {out_of_scope} registros fora de [{first}, {last}].",
+        "Validado escopo temporal {first}-{last} em {dataset} ({dated} registros, anos {min_year} a {max_year}, 0 fora do escopo)."),
+    "temporal_scope_undated": (
+        "No valid date records found in column {column} for {dataset}.", ""),
+    "valid_uf_domains": (
+        "Invalid UFs detected: {{{names}}}", "All UFs belong to valid Brazilian state codes."),
+    "not_null_decision_date": ("{null_dates} null decision dates found.", "All decision dates are populated."),
+    "referential_temporal_consistency": (
+        "{early} decisions precede their process distribution date.",
+        "All joined decisions occur on or after their process distribution date."),
+    "non_negative_net_salary": (
+        "{negative_net} records have negative net salary.", "All net salaries are non-negative."),
+    "constitutional_ceiling_integrity": (
+        "{negative_cut} records have invalid abate_teto.", "Constitutional ceiling abate_teto verified."),
+    "non_negative_budget_values": (
+        "{negative} budget entries have negative values.", "All budget monetary amounts are non-negative."),
+    "budget_year_range": (
+        "{early_years} budget records prior to {first}.",
+        "All budget entries comply with {first}-{last} fiscal cycle."),
+    "raw_file_presence": ("Raw file missing: {file_path}", ""),
+    "checksum_integrity": ("Checksum mismatch! File has been altered.", "File SHA-256 matches latest manifest."),
+}

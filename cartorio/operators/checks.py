@@ -6,10 +6,13 @@ Every check row is (check_name, target_layer, dataset, status, message, details)
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from string import Formatter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartorio.functions import fixed
+
 PASS, FAIL = "PASS", "FAIL"
 COLUMNS = ["check_name", "target_layer", "dataset", "status", "message", "details"]
 
@@ -45,10 +48,22 @@ def check_rows(figures: DataFrame, checks: list[Check]) -> DataFrame:
     return figures.select(F.inline(F.array(*[c.row() for c in checks])))
 
 
-def text(*parts: str | Column) -> Column:
-    """Message from literal text and figures; a missing figure reads as None."""
-    return F.concat(*[
-        F.lit(p) if isinstance(p, str) else F.coalesce(p.cast("string"), F.lit("None")) for p in parts])
+def message(template: str, **literals: object) -> Column:
+    """Message from a template: ``{name}`` is a given literal, or else a figure's column."""
+    parts = []
+    for before, name, _, _ in Formatter().parse(template):
+        if before:
+            parts.append(F.lit(before))
+        if name is not None:
+            value = F.lit(str(literals[name])) if name in literals else F.col(name).cast("string")
+            parts.append(F.coalesce(value, F.lit("None")))
+    return F.concat(*parts) if parts else F.lit("")
+
+
+def messages(kind: str, **literals: object) -> tuple[Column, Column]:
+    """The failed and the passed message of a kind of check."""
+    bad, good = fixed.CHECK_MESSAGES[kind]
+    return message(bad, **literals), message(good, **literals)
 
 
 def duplicate_count(df: DataFrame, key: str, name: str = "duplicates") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cartorio.functions import fixed
 from cartorio.functions.cells import count_where
-from cartorio.operators.checks import COLUMNS, FAIL, PASS, Check, check_rows, duplicate_count, side_by_side, text
+from cartorio.operators.checks import COLUMNS, FAIL, PASS, Check, check_rows, duplicate_count, message, messages, side_by_side
 from cartorio.operators.joins import decisions_per_case
 from cartorio.plans.provenance import latest_ingestion, path_key
 from cartorio.sources.manifest import file_sha256
@@ -31,25 +31,24 @@ def _scope_figures(column: str, first: int, last: int) -> list[Column]:
 def _temporal_scope(dataset: str, column: str, first: int, last: int) -> Check:
     """Fails when any dated row lies outside the years, or when no row is dated at all."""
     out, dated, lo, hi = (F.col(c) for c in ("out_of_scope", "dated", "min_year", "max_year"))
+    bad, good = messages("temporal_scope", dataset=dataset, first=first, last=last)
+    undated, _ = messages("temporal_scope_undated", dataset=dataset, column=column)
     return Check(
         f"temporal_scope_{first}_{last}", dataset, (dated == 0) | (out > 0),
-        F.when(dated == 0, text(f"No valid date records found in column {column} for {dataset}."))
-        .otherwise(text(f"Violação de escopo temporal em {dataset}: ", out, f" registros fora de [{first}, {last}].")),
-        text(f"Validado escopo temporal {first}-{last} em {dataset} (", dated, " registros, anos ", lo,
-             " a ", hi, ", 0 fora do escopo)."),
+        F.when(dated == 0, undated).otherwise(bad), good,
         {"min_year": lo, "max_year": hi, "out_of_bounds_count": out, "total_records": dated},
     )
 
 
 def _unique_key(name: str, dataset: str, key: str) -> Check:
     dups = F.col("duplicates")
-    return Check(name, dataset, dups > 0, text("Found ", dups, f" duplicate {key} entries."),
-                 text(f"All {key} values are unique."), {"duplicates_count": dups})
+    return Check(name, dataset, dups > 0, *messages("unique_key", key=key), {"duplicates_count": dups})
 
 
-def _none_of(name: str, dataset: str, figure: str, bad: str, good: str, detail: str) -> Check:
+def _none_of(name: str, dataset: str, figure: str, detail: str, **literals: object) -> Check:
+    """Fails when the figure is not zero."""
     n = F.col(figure)
-    return Check(name, dataset, n > 0, text(n, bad), text(good), {detail: n})
+    return Check(name, dataset, n > 0, *messages(name, **literals), {detail: n})
 
 
 # ---------------------------------------------------------------- state domain
@@ -92,21 +91,17 @@ def check_processes(
         duplicate_count(processes, "process_id"),
         _invalid_state_figures(processes, valid_states),
     )
-    ids, dates, odd, bad = (F.col(c) for c in ("null_ids", "null_dates", "odd_years", "invalid_states"))
-    nulls = text("Null check: ", ids, " null IDs, ", dates, " null distribution dates.")
-    listed = F.when(F.col("names").isNotNull(), text("Invalid UFs detected: {", F.col("names"), "}")).otherwise(
-        text("Invalid UFs detected: ", bad, " different codes."))
+    ids, dates, bad = (F.col(c) for c in ("null_ids", "null_dates", "invalid_states"))
+    listed, valid = messages("valid_uf_domains")
+    counted = message("Invalid UFs detected: {invalid_states} different codes.")
     return check_rows(figures, [
         _unique_key("primary_key_uniqueness", "processos", "process_id"),
-        Check("not_null_critical_fields", "processos", (ids > 0) | (dates > 0), nulls, nulls,
-              {"null_ids": ids, "null_dates": dates}),
-        Check("reasonable_dates", "processos", odd > 0,
-              text(odd, " processes have unreasonable distribution dates."),
-              text(odd, " processes have unreasonable distribution dates."), {"invalid_date_count": odd}),
+        Check("not_null_critical_fields", "processos", (ids > 0) | (dates > 0),
+              *messages("not_null_critical_fields"), {"null_ids": ids, "null_dates": dates}),
+        _none_of("reasonable_dates", "processos", "odd_years", "invalid_date_count"),
         _temporal_scope("processos", "data_distribuicao", first, last),
-        Check("valid_uf_domains", "processos", bad > 0, listed,
-              text("All UFs belong to valid Brazilian state codes."),
-              {"invalid_ufs": F.col("names"), "invalid_uf_count": bad}),
+        Check("valid_uf_domains", "processos", bad > 0, F.when(F.col("names").isNull(), counted).otherwise(listed),
+              valid, {"invalid_ufs": F.col("names"), "invalid_uf_count": bad}),
     ])
 
 
@@ -119,8 +114,7 @@ def check_decisions(decisions: DataFrame, first: int = fixed.FIRST_YEAR, last: i
     )
     return check_rows(figures, [
         _unique_key("primary_key_uniqueness", "decisoes", "decision_id"),
-        _none_of("not_null_decision_date", "decisoes", "null_dates", " null decision dates found.",
-                 "All decision dates are populated.", "null_dates"),
+        _none_of("not_null_decision_date", "decisoes", "null_dates", "null_dates"),
         _temporal_scope("decisoes", "data_decisao", first, last),
     ])
 
@@ -140,12 +134,10 @@ def check_referential(decisions: DataFrame, processes: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("n"))), F.lit(0)).alias("orphans"),
     )
     return check_rows(figures, [
-        _none_of("referential_temporal_consistency", "cross_process_decision", "early",
-                 " decisions precede their process distribution date.",
-                 "All joined decisions occur on or after their process distribution date.", "anomalous_dates"),
-        _none_of("referential_orphans", "cross_process_decision", "orphans",
-                 " decisions have no known process.", "All decisions belong to a known process.",
-                 "orphan_decisions"),
+        _none_of("referential_temporal_consistency", "cross_process_decision", "early", "anomalous_dates"),
+        Check("referential_orphans", "cross_process_decision", F.col("orphans") > 0,
+              message("{orphans} decisions have no known process."), message("All decisions belong to a known process."),
+              {"orphan_decisions": F.col("orphans")}),
     ])
 
 
@@ -158,11 +150,8 @@ def check_remuneration(remuneration: DataFrame) -> DataFrame:
     )
     return check_rows(figures, [
         _unique_key("remuneration_pk_uniqueness", "remuneracao", "remuneracao_id"),
-        _none_of("non_negative_net_salary", "remuneracao", "negative_net",
-                 " records have negative net salary.", "All net salaries are non-negative.", "negative_count"),
-        _none_of("constitutional_ceiling_integrity", "remuneracao", "negative_cut",
-                 " records have invalid abate_teto.", "Constitutional ceiling abate_teto verified.",
-                 "invalid_abate_teto"),
+        _none_of("non_negative_net_salary", "remuneracao", "negative_net", "negative_count"),
+        _none_of("constitutional_ceiling_integrity", "remuneracao", "negative_cut", "invalid_abate_teto"),
     ])
 
 
@@ -177,11 +166,8 @@ def check_budget(budget: DataFrame, first: int = fixed.FIRST_YEAR, last: int = f
     )
     return check_rows(figures, [
         _unique_key("budget_pk_uniqueness", "orcamento", "orcamento_id"),
-        _none_of("non_negative_budget_values", "orcamento", "negative",
-                 " budget entries have negative values.", "All budget monetary amounts are non-negative.",
-                 "negative_count"),
-        _none_of("budget_year_range", "orcamento", "early_years", f" budget records prior to {first}.",
-                 f"All budget entries comply with {first}-{last} fiscal cycle.", "invalid_years"),
+        _none_of("non_negative_budget_values", "orcamento", "negative", "negative_count"),
+        _none_of("budget_year_range", "orcamento", "early_years", "invalid_years", first=first, last=last),
     ])
 
 
@@ -207,14 +193,14 @@ def check_checksums(manifest: DataFrame, hashes: DataFrame) -> DataFrame:
     joined = latest.withColumn("_path", path_key("file_path")).join(now, "_path", "left")
     missing, same = F.col("computed").isNull(), F.col("computed") == F.col("file_hash_sha256")
     empty = F.expr("cast(map() as map<string,string>)")
+    altered, unaltered = messages("checksum_integrity")
+    gone, _ = messages("raw_file_presence")
     return joined.select(
         F.when(missing, "raw_file_presence").otherwise("checksum_integrity").alias("check_name"),
         F.lit("bronze").alias("target_layer"),
         F.col("dataset_name").alias("dataset"),
         F.when(same, PASS).otherwise(FAIL).alias("status"),
-        F.when(missing, text("Raw file missing: ", F.col("file_path")))
-        .when(same, "File SHA-256 matches latest manifest.")
-        .otherwise("Checksum mismatch! File has been altered.").alias("message"),
+        F.when(missing, gone).when(same, unaltered).otherwise(altered).alias("message"),
         F.when(missing, empty).otherwise(F.create_map(
             F.lit("recorded_hash"), F.col("file_hash_sha256"), F.lit("computed_hash"), F.col("computed"),
         )).alias("details"),

@@ -31,12 +31,11 @@ def build_session(app: str = "cartorio", master: str | None = None, **conf: str)
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir``, or one of our own where unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="cartorio-")
-        spark.conf.set("spark.checkpoint.dir", path)
-        spark.sparkContext.setCheckpointDir(path)
-    return path
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="cartorio-"))
+    return configured or context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
