@@ -19,6 +19,7 @@ _READERS: dict[str, Callable[[Column], Column]] = {
     "money": cells.safe_money,
     "date": cells.safe_date,
 }
+_SHAPED = ("int", "money", "date")
 
 
 def canonical_name(name: str) -> str:
@@ -35,9 +36,10 @@ def typed_columns(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
     missing = [c for c in kinds if c not in df.columns]
     if missing:
         raise ValueError(f"raw table lacks columns {missing}")
-    # tokens first, in a step of their own: the readers below use a cell more than once
+    # tokens first, in a step of their own: the readers below use a cell more than once; numbers
+    # and dates need none, as no token has their shape
     known = df.select(*[
-        F.col(c) if c == SEQ else cells.null_tokens(F.col(c)).alias(c)
+        F.col(c) if c == SEQ or kinds.get(c) in _SHAPED else cells.null_tokens(F.col(c)).alias(c)
         for c in [*kinds, *(c for c in df.columns if c not in kinds)]
     ])
     return known.select(*[
