@@ -60,7 +60,11 @@ _USERS_SQL = f"""
 
 
 def _life_sql(source: str, *strata: tuple[str, str]) -> str:
-    """Life table CTEs over ``cases``: counts, life (with at_risk), steps, totals, curve."""
+    """Life table CTEs over ``cases``: counts, life (with at_risk), steps, totals, curve.
+
+    Probabilities are rounded as decimals, ties to even: scaling the double itself would turn
+    values just below a tie into ties.
+    """
     parts = [("global", "''")] + list(strata)
     union = " UNION ALL ".join(
         f"SELECT '{kind}' AS stratum_kind, CAST({column} AS VARCHAR) AS stratum, duration, event FROM cases"
@@ -74,7 +78,10 @@ def _life_sql(source: str, *strata: tuple[str, str]) -> str:
                         ROWS UNBOUNDED PRECEDING)) AS s FROM life WHERE d > 0),
         totals AS (SELECT stratum_kind, stratum, SUM(d + c)::BIGINT AS total_cases, SUM(d)::BIGINT AS events_count,
                           SUM(c)::BIGINT AS censored_count, MAX(duration) AS last_duration FROM counts GROUP BY 1, 2),
-        curve AS (SELECT stratum_kind, stratum, duration AS t, round_even(s, 4) AS survival FROM steps
+        scaled AS (SELECT *, CAST(CAST(s AS VARCHAR) AS DECIMAL(24, 20)) * 10000 AS k FROM steps),
+        curve AS (SELECT stratum_kind, stratum, duration AS t, CAST(floor(k) + CASE WHEN k - floor(k) > 0.5
+                         OR (k - floor(k) = 0.5 AND CAST(floor(k) AS BIGINT) % 2 = 1) THEN 1 ELSE 0 END AS DOUBLE) / 10000
+                         AS survival FROM scaled
                   UNION ALL SELECT stratum_kind, stratum, 0, 1.0 FROM totals
                   UNION ALL SELECT stratum_kind, stratum, last_duration, 1.0 FROM totals WHERE events_count = 0),
         medians AS (SELECT stratum_kind, stratum, MIN(duration) FILTER (WHERE s <= 0.5) AS median_days FROM steps GROUP BY 1, 2),
