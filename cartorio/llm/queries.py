@@ -1,4 +1,4 @@
 """All queries of this package: importing it fills the registry."""
 
-from cartorio.llm import simhash  # noqa: F401  (they register)
+from cartorio.llm import decontaminate, licenses, pii, simhash, toxicity  # noqa: F401  (they register)
 from cartorio.llm.common import ORACLES, QUERIES  # noqa: F401
