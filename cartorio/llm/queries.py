@@ -1,4 +1,14 @@
 """All queries of this package: importing it fills the registry."""
 
-from cartorio.llm import decontaminate, licenses, pii, simhash, toxicity  # noqa: F401  (they register)
+from cartorio.llm import (  # noqa: F401  (they register)
+    decontaminate,
+    embeddings,
+    licenses,
+    mixing,
+    pii,
+    sentences,
+    simhash,
+    tokens,
+    toxicity,
+)
 from cartorio.llm.common import ORACLES, QUERIES  # noqa: F401

@@ -9,6 +9,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartorio.llm.common import Scratch, components, query, table
 
@@ -47,7 +48,7 @@ def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
     return int(np.packbits(2 * sums > n, bitorder="little").view("<u8")[0])
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def simhash(texts: pd.Series) -> pd.Series:
     """The fingerprints of whole texts, their 64 bits as longs."""
     return pd.Series(np.array([fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64))
