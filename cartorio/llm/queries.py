@@ -3,6 +3,7 @@
 from cartorio.llm import (  # noqa: F401  (they register)
     decontaminate,
     embeddings,
+    language_model,
     licenses,
     mixing,
     pii,
