@@ -24,22 +24,25 @@ def sentences(text: str | None) -> list[str]:
 
 
 def runs(parts: list[str], least_sentences: int, least_words: int) -> list[tuple[int, int, int]]:
-    """``(hash, first, last)`` of the shortest run from every sentence on that is long enough.
+    """``(hash, first, last)`` of the shortest long enough run from every sentence on, and up to every sentence.
 
     A run has at least ``least_sentences`` sentences with words and ``least_words`` words, or twice that many
-    words in fewer sentences. Words are compared as they stand, white space does not count.
+    words in fewer sentences. Words are compared as they stand, white space does not count. Runs in both
+    directions cover a repeated passage up to its first and its last whole sentence.
     """
     words = [p.encode().split() for p in parts]
     full = [i for i, w in enumerate(words) if w]
     line = [b" ".join(words[i]) for i in full]
-    upto = np.concatenate([[0], np.cumsum([len(words[i]) for i in full])])
+    upto = np.concatenate([[0], np.cumsum([len(words[i]) for i in full])]).astype(np.int64)
+    n, at = len(full), np.arange(len(full))
+    ahead = np.minimum(np.maximum(np.searchsorted(upto, upto[:-1] + least_words), at + least_sentences),
+                       np.searchsorted(upto, upto[:-1] + 2 * least_words))
+    back = np.maximum(np.minimum(np.searchsorted(upto, upto[1:] - least_words, "right") - 1, at + 1 - least_sentences),
+                      np.searchsorted(upto, upto[1:] - 2 * least_words, "right") - 1)
+    spans = {(a, b) for a, b in zip(at.tolist(), ahead.tolist()) if b <= n}
+    spans |= {(a, b + 1) for a, b in zip(back.tolist(), at.tolist()) if a >= 0}
     out = []
-    for a in range(len(full)):
-        by_words = int(np.searchsorted(upto, upto[a] + least_words))
-        alone = int(np.searchsorted(upto, upto[a] + 2 * least_words))
-        b = min(max(by_words, a + least_sentences), alone)
-        if b > len(full):
-            break
+    for a, b in sorted(spans):
         h = xxhash.xxh64_intdigest(b"\n".join(line[a:b]))
         out.append((h - (1 << 64) if h >> 63 else h, full[a], full[b - 1]))
     return out
@@ -80,7 +83,7 @@ def repeated_runs(docs: DataFrame, least_sentences: int = 2, least_words: int =
     held = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("key"), "text").mapInArrow(
         _runs(least_sentences, least_words), "doc_id long, key long, hash long, first int, last int")
     held = Scratch(docs.sparkSession, "sentences").store(held)
-    place = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "key", "first")
+    place = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "key", "first")  # a hash fixes the words after
     firsts = held.groupBy("hash").agg(F.count("*").alias("n"), F.min(place).alias("p")).where("n > 1")
     back = held.join(firsts, "hash").where(
         ~(F.col("doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("key") == F.col("p.key"))
