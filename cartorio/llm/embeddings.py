@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cartorio.llm.common import Scratch, components, query, table
 
-_ROWS = "grp string, cell long, turn int, block int, rep long, m long, vec binary, sign binary, factor double, keys binary"
+_ROWS = "grp string, cell long, turn int, rep long, m long, dim int, vec binary, sign binary, factor double"
 _OUT = "rep long, n long, root long"
 
 
@@ -48,93 +48,101 @@ def _plan(n: int, least: float, recall: float) -> tuple[int, int]:
     return bits, max(1, math.ceil(math.log(1 - recall) / math.log(1 - meet)))
 
 
-def _encoder(bits: int, tables: int, seed: int):
-    """Rows for every table of every vector; a table's cell is made of signs under a rotation of its own."""
+def _bytes(x: np.ndarray) -> bytes:
+    """A vector in single precision where that loses nothing."""
+    low = x.astype("<f4")
+    return (low if (low == x).all() else x.astype("<f8")).tobytes()
+
+
+class Turns:
+    """Rotations and sign planes for each vector length, from a seed; every task makes the same."""
+
+    def __init__(self, bits: int, tables: int, seed: int):
+        self.bits, self.tables, self.seed, self.made = bits, tables, seed, {}
+
+    def of(self, dim: int):
+        if dim not in self.made:
+            planes = np.random.default_rng((self.seed, dim)).normal(size=(dim, self.bits * self.tables))
+            self.made[dim] = rotation(dim, self.seed), planes
+        return self.made[dim]
+
+    def cells(self, x: np.ndarray) -> np.ndarray:
+        """The cell of every vector in every table: sign bits under the table's planes."""
+        side = (x @ self.of(x.shape[1])[1] > 0).reshape(len(x), self.tables, self.bits)
+        return (side * (1 << np.arange(self.bits, dtype=np.int64))).sum(2)
+
+
+def _encoder(turns: Turns):
+    """Rows for every table of every vector."""
     def run(batches):
-        turns = {}
         for b in batches:
             by_dim = {}
             for g, rep, m, vec in zip(*(c.to_pylist() for c in b.columns)):
                 by_dim.setdefault(len(vec), []).append((g, rep, m, vec))
             for dim, rows in by_dim.items():
-                if dim not in turns:
-                    planes = np.random.default_rng((seed, dim)).normal(size=(dim, bits * tables))
-                    turns[dim] = rotation(dim, seed), planes
                 x = np.array([r[3] for r in rows], float)
-                signs, factors = encode(x, turns[dim][0])
-                side = (x @ turns[dim][1] > 0).reshape(len(x), tables, bits)
-                keys = (side * (1 << np.arange(bits, dtype=np.int64))).sum(2)
-                n = len(rows)
-                for t in range(tables):
+                signs, factors = encode(x, turns.of(dim)[0])
+                cells, n = turns.cells(x), len(rows)
+                vecs, codes = [_bytes(v) for v in x], [s.tobytes() for s in np.packbits(signs, axis=1)]
+                for t in range(turns.tables):
                     yield pa.RecordBatch.from_arrays([
-                        pa.array([r[0] + f":{dim}" for r in rows]), pa.array(keys[:, t]),
-                        pa.array([t] * n, pa.int32()), pa.array([0] * n, pa.int32()),
+                        pa.array([r[0] for r in rows]), pa.array(cells[:, t]), pa.array([t] * n, pa.int32()),
                         pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()),
-                        pa.array([v.tobytes() for v in x.astype("<f8")]), pa.array([s.tobytes() for s in signs]),
-                        pa.array(factors), pa.array([k.tobytes() for k in keys.astype("<i8")])],
+                        pa.array([dim] * n, pa.int32()), pa.array(vecs), pa.array(codes), pa.array(factors)],
                         [c.split()[0] for c in _ROWS.split(", ")])
     return run
 
 
-def _cell_links(rows, turn_of, least, sure):
+def _cell_links(rows, turns: Turns, least: float, sure: float):
     """Linked pairs of one cell or pair of blocks: link counts and a spanning forest."""
-    t = rows[0]["turn"]
-    x = np.array([np.frombuffer(r["vec"]) for r in rows])
-    keys = np.array([np.frombuffer(r["keys"], "<i8") for r in rows])
-    signs = np.array([np.frombuffer(r["sign"], bool) for r in rows])
+    t, dim = rows[0]["turn"], rows[0]["dim"]
+    x = np.array([np.frombuffer(r["vec"], "<f4" if len(r["vec"]) == 4 * dim else "<f8") for r in rows], float)
+    signs = np.unpackbits(np.array([np.frombuffer(r["sign"], np.uint8) for r in rows]), axis=1)[:, :dim] > 0
     factors = np.array([r["factor"] for r in rows])
     m = np.array([r["m"] for r in rows], np.int64)
     block = np.array([r["block"] for r in rows])
     norm = np.linalg.norm(x, axis=1)
-    spun = (x / norm[:, None]) @ turn_of(x.shape[1])
+    spun = (x / norm[:, None]) @ turns.of(dim)[0]
     n, links, low = len(rows), np.zeros(len(rows), np.int64), np.arange(len(rows))
-    pairs = []
+    cells = turns.cells(x)[:, :t]
     for at in range(0, n, 512):
-        est, wide = estimate(signs[at:at + 512], factors[at:at + 512], spun, sure)
+        part = slice(at, min(at + 512, n))
+        est, wide = estimate(signs[part], factors[part], spun, sure)
         maybe = est + wide >= least  # below the bound nothing is computed again
-        # each pair once: in the first table where it meets; two blocks meet only across
-        maybe &= np.arange(n)[None, :] > np.arange(at, min(at + 512, n))[:, None]
-        for i, j in zip(*np.nonzero(maybe)):
-            pairs.append((i + at, j))
-    if not pairs:
-        return
-    i, j = np.array(pairs).T
-    if block.max() != block.min():
-        across = block[i] != block[j]
-        i, j = i[across], j[across]
-    if t and len(i):
-        fresh = ~(keys[i, :t] == keys[j, :t]).any(1)
-        i, j = i[fresh], j[fresh]
-    for at in range(0, len(i), 1 << 16):
-        a, b = i[at:at + (1 << 16)], j[at:at + (1 << 16)]
-        ok = np.einsum("ij,ij->i", x[a], x[b]) / (norm[a] * norm[b]) >= least
-        a, b = a[ok], b[ok]
-        np.add.at(links, a, m[b])
-        np.add.at(links, b, m[a])
-        while len(a):  # smallest label of each component within the cell
+        maybe &= np.arange(n)[None, :] > np.arange(at, part.stop)[:, None]
+        if block.max() != block.min():  # two blocks meet only across
+            maybe &= block[part, None] != block[None, :]
+        i, j = np.nonzero(maybe)
+        i += at
+        if t and len(i):  # each pair once: in the first table where it meets
+            fresh = ~(cells[i] == cells[j]).any(1)
+            i, j = i[fresh], j[fresh]
+        ok = np.einsum("ij,ij->i", x[i], x[j]) / (norm[i] * norm[j]) >= least
+        i, j = i[ok], j[ok]
+        np.add.at(links, i, m[j])
+        np.add.at(links, j, m[i])
+        while len(i):  # smallest label of each component within the cell
             before = low.copy()
-            np.minimum.at(low, a, low[b])
-            np.minimum.at(low, b, low[a])
+            both = np.minimum(low[i], low[j])
+            np.minimum.at(low, low[i], both)
+            np.minimum.at(low, low[j], both)
             low = low[low]
             if (before == low).all():
                 break
+    while (low[low] != low).any():
+        low = low[low]
     for k in np.nonzero(links)[0]:
         yield rows[k]["rep"], int(links[k]), rows[low[k]]["rep"]
 
 
-def _linker(least: float, sure: float, seed: int):
+def _linker(turns: Turns, least: float, sure: float):
     """Over rows sorted by cell and block pair: links of every run of equal keys."""
     def run(batches):
-        turns, held, key, out = {}, [], None, []
-
-        def turn_of(dim):
-            if dim not in turns:
-                turns[dim] = rotation(dim, seed)
-            return turns[dim]
+        held, key, out = [], None, []
 
         def flush():
             if len(held) > 1:
-                out.extend(_cell_links(held, turn_of, least, sure))
+                out.extend(_cell_links(held, turns, least, sure))
 
         def batch():
             cols = list(zip(*out)) if out else [[], [], []]
@@ -142,7 +150,7 @@ def _linker(least: float, sure: float, seed: int):
 
         for b in batches:
             for row in b.to_pylist():
-                now = row["grp"], row["turn"], row["cell"], row["lo"], row["hi"]
+                now = row["grp"], row["dim"], row["turn"], row["cell"], row["lo"], row["hi"]
                 if now != key:
                     flush()
                     held, key = [], now
@@ -166,17 +174,19 @@ def links(distinct: DataFrame, scratch: Scratch, least: float = 0.98, recall: fl
     in double precision. Cells over ``block`` rows are split into blocks, each pair of blocks a unit of its own.
     """
     bits, tables = _plan(distinct.count(), least, recall)
-    rows = scratch.store(distinct.select("grp", "rep", "m", "vec").mapInArrow(_encoder(bits, tables, seed), _ROWS))
-    cells = rows.groupBy("grp", "turn", "cell").agg(F.count("*").alias("size")).where("size > 1").withColumn(
+    turns = Turns(bits, tables, seed)
+    rows = scratch.store(distinct.select("grp", "rep", "m", "vec").mapInArrow(_encoder(turns), _ROWS))
+    cell = ["grp", "dim", "turn", "cell"]
+    cells = rows.groupBy(*cell).agg(F.count("*").alias("size")).where("size > 1").withColumn(
         "blocks", F.ceil(F.col("size") / block).cast("int"))
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    spread = rows.drop("block").join(cells, ["grp", "turn", "cell"]).withColumn("block", own).withColumn(
+    spread = rows.join(cells, cell).withColumn("block", own).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = spread.select(
-        "grp", "turn", "cell", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
-        "block", "rep", "m", "vec", "sign", "factor", "keys")
-    key = ["grp", "turn", "cell", "lo", "hi"]
-    return dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(_linker(least, sure, seed), _OUT)
+        *cell, F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
+        "block", "rep", "m", "vec", "sign", "factor")
+    key = [*cell, "lo", "hi"]
+    return dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(_linker(turns, least, sure), _OUT)
 
 
 def near_duplicates(vectors: DataFrame, least: float = 0.98, **how) -> DataFrame:
