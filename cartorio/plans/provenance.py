@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cartorio.functions import fixed
 from cartorio.sources.manifest import MANIFEST_SCHEMA, file_sha256
+from cartorio.sources.paths import readable
 
 LAYERS = ["SOURCE", "BRONZE_RAW", "SILVER_CLEAN", "GOLD_ANALYTICAL"]
 
@@ -19,12 +20,13 @@ def _now() -> str:
 
 def record_counts(records: DataFrame, file: str = "_seq.file") -> DataFrame:
     """Records per landing file (a quoted line break does not make a record)."""
-    return records.groupBy(F.col(file).alias("file_path")).agg(F.count("*").alias("row_count"))
+    return records.groupBy(F.col(file).alias("file_path")).agg(F.count("*").alias("row_count")).withColumn(
+        "file_path", readable("file_path"))
 
 
 def path_key(column: str) -> Column:
-    """File paths as Spark's readers spell them differ in the scheme and in %-escapes."""
-    return F.regexp_replace(F.try_url_decode(F.replace(F.col(column), F.lit("+"), F.lit("%2B"))), r"^file:/+", "/")
+    """Readers spell the scheme of local paths with one slash or three."""
+    return F.regexp_replace(F.col(column), r"^file:/+", "/")
 
 
 def manifest_rows(

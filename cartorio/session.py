@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -30,12 +31,20 @@ def build_session(app: str = "cartorio", master: str | None = None, **conf: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach: ``spark.checkpoint.dir``, or one of our own where unset."""
+    """The folder all executors can reach: ``spark.checkpoint.dir``.
+
+    Where that is unset, a temporary folder serves a local session, whose executors are in this
+    process; on a cluster they could not read it, so there it is an error.
+    """
     context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if configured is None:
+        if not re.match(r"local(\[|$)", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors reach")
+        configured = tempfile.mkdtemp(prefix="cartorio-")
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="cartorio-"))
-    return configured or context.getCheckpointDir()
+        context.setCheckpointDir(configured)
+    return configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

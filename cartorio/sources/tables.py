@@ -6,7 +6,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
+
+from cartorio.sources.paths import if_there
 
 
 def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -15,10 +16,7 @@ def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 def table_at(spark: SparkSession, path: str) -> DataFrame | None:
     """The Parquet table at ``path``, None where there is none."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    return if_there(lambda: spark.read.parquet(path))
 
 
 def register_views(tables: dict[str, DataFrame]) -> None:

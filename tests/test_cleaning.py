@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 from datetime import date
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from cartorio.functions import cells
 from cartorio.operators.cleaning import canonical_column_names, dedup_keep_first
 from cartorio.plans import silver
+from cartorio.plans.provenance import record_counts
 from cartorio.sources.bronze import profile_csv_files, scan_csv_bronze
 
 HEADER = ",".join(silver.PROCESSES)
@@ -67,12 +69,33 @@ def test_spanning_files_are_found(spark, tmp_path):
     assert scan_csv_bronze(spark, path).count() == 2
 
 
-def test_first_in_file_order_over_files(spark, tmp_path):
-    _csv(tmp_path, _line("A-1", number="2"), name="b.csv")
-    path = _csv(tmp_path, _line("A-1", number="1"), name="a.csv")
+@pytest.mark.parametrize("first,second", [("a.csv", "b.csv"), ("b.csv", "a.csv")])
+def test_first_in_order_of_arrival_over_files(spark, tmp_path, first, second):
+    path = _csv(tmp_path, _line("A-1", number="1"), name=first)
+    _csv(tmp_path, _line("A-1", number="2"), name=second)
+    os.utime(f"{path}/{first}", (1_000, 1_000))
+    os.utime(f"{path}/{second}", (2_000, 2_000))
     assert [r.numero_processo for r in silver.clean_processes(scan_csv_bronze(spark, path)).collect()] == [1]
 
 
+def test_path_breaks_ties_of_arrival(spark, tmp_path):
+    path = _csv(tmp_path, _line("A-1", number="2"), name="b.csv")
+    _csv(tmp_path, _line("A-1", number="1"), name="a.csv")
+    for name in ("a.csv", "b.csv"):
+        os.utime(f"{path}/{name}", (1_000, 1_000))
+    assert [r.numero_processo for r in silver.clean_processes(scan_csv_bronze(spark, path)).collect()] == [1]
+
+
+@pytest.mark.parametrize("name", ["a b.csv", "decisões.csv", "a%20b.csv", "a+b.csv"])
+@pytest.mark.parametrize("text", ["um", "um\ndois"])
+def test_odd_file_names(spark, tmp_path, name, text):
+    path = _csv(tmp_path, _line("A-1", text=text), name=name)
+    _csv(tmp_path, _line("A-2"), name="plain.csv")
+    cells_read = scan_csv_bronze(spark, path)
+    assert cells_read.count() == 2
+    assert {r.file_path.split("/")[-1] for r in record_counts(cells_read).collect()} == {name, "plain.csv"}
+
+
 def test_header_must_agree(spark, tmp_path):
     _csv(tmp_path, _line("A-1"), name="a.csv")
     path = _csv(tmp_path, "x,y", header="decisao_id,process_id", name="b.csv")

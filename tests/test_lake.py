@@ -3,6 +3,7 @@ from __future__ import annotations
 import csv
 import hashlib
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -149,13 +150,13 @@ def test_bad_first_row_hides_later_batches(spark, tmp_path):
 # ---------------------------------------------------------------- provenance
 
 
-def test_hashes_small_and_streamed(spark, tmp_path):
+def test_file_hashes(spark, tmp_path):
     (tmp_path / "f").mkdir()
     bodies = {"a.bin": b"process_id,val\n1,2\n3,4\n", "b.bin": bytes(range(256)) * 5000}
     for name, body in bodies.items():
         (tmp_path / "f" / name).write_bytes(body)
     got = {r.file_path[-5:]: (r.file_hash_sha256, r.file_size_bytes)
-           for r in manifest.file_sha256(spark, str(tmp_path / "f"), whole_up_to=1000).collect()}
+           for r in manifest.file_sha256(spark, str(tmp_path / "f")).collect()}
     assert got == {n: (hashlib.sha256(b).hexdigest(), len(b)) for n, b in bodies.items()}
 
 
@@ -240,3 +241,26 @@ def test_listing_filters(spark, lake):
     assert listings.list_decisions(done.gold["fact_decisions"], limit=500, categoria="monocratica").count() == 8
     with pytest.raises(ValueError):
         listings.list_processes(cases, limit=501)
+
+
+@pytest.mark.parametrize("max_files", [1, 1000])
+@pytest.mark.parametrize("first,second", [("a b.csv", "b%.csv"), ("b%.csv", "a b.csv")])
+def test_batch_size_does_not_change_the_kept_row(spark, tmp_path, max_files, first, second):
+    landing, base = tmp_path / "landing", str(tmp_path / "lake")
+    _write(landing / first, [_case(1, relator="Min. A")])
+    _write(landing / second, [_case(1, relator="Min. B"), _case(2, relator="Min. B", assunto="x\ny")])
+    os.utime(landing / first, (1_000, 1_000))
+    os.utime(landing / second, (2_000, 2_000))
+    ingest.incremental_ingest(spark, str(landing), base, FEED, max_files=max_files)
+    kept = {r.process_id: r.relator for r in ingest.silver_table(spark, base, "processos").collect()}
+    assert kept == {"P-1": "Min. A", "P-2": "Min. B"}
+    log = spark.read.schema(manifest.MANIFEST_SCHEMA).json(f"{base}/manifest/processos")
+    assert {r.original_filename: r.row_count for r in log.collect()} == {first: 1, second: 2}
+
+
+def test_only_an_absent_folder_reads_as_no_table(spark, tmp_path):
+    assert ingest.silver_table(spark, str(tmp_path), "processos") is None
+    for i, kind in enumerate(("struct<a:int>", "int")):
+        spark.range(1).select(F.lit(None).cast(kind).alias("c")).write.parquet(f"{tmp_path}/silver/processos/batch_id={i}")
+    with pytest.raises(Exception, match="(?i)merg|schema"):
+        ingest.silver_table(spark, str(tmp_path), "processos")
