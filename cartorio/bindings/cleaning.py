@@ -44,7 +44,7 @@ def dirty_int(x: Column, k: Column) -> Column:
 
 
 def dirty_money(x: Column, k: Column) -> Column:
-    return _dirty(x, k, 9, {0: "abc", 1: "N/A", 2: "-12.50", 3: "1e3", 4: " 5.0", 5: ""}, {}, {})
+    return _dirty(x, k, 9, {0: "abc", 1: "N/A", 2: "-12.50", 3: "1e3", 4: " 5.0", 5: "", 6: "1e999"}, {}, {})
 
 
 def _sql_cases(k: str, mod: int, cases: dict[int, str], other: str) -> str:
@@ -59,7 +59,7 @@ _SQL_DIRT = {
                                             4: "'NaN'"}, x),
     "int": lambda x, k: _sql_cases(k, 7, {0: "'abc'", 1: "'12.5'", 2: "' 7'", 3: "'99999999999999999999'",
                                           4: "'N/A'"}, x),
-    "money": lambda x, k: _sql_cases(k, 9, {0: "'abc'", 1: "'N/A'", 2: "'-12.50'", 3: "'1e3'", 4: "' 5.0'", 5: "''"}, x),
+    "money": lambda x, k: _sql_cases(k, 9, {0: "'abc'", 1: "'N/A'", 2: "'-12.50'", 3: "'1e3'", 4: "' 5.0'", 5: "''", 6: "'1e999'"}, x),
 }
 _SQL_DIRT["plain"] = lambda x, k: x
 _DIRT = {"plain": lambda x, k: x, "text": dirty_text, "key": dirty_key, "date": dirty_date, "int": dirty_int, "money": dirty_money}
@@ -76,8 +76,8 @@ def _sql_read(kind: str, x: str) -> str:
         "text": trimmed,
         "code": f"upper({trimmed})",
         "int": f"CASE WHEN regexp_full_match({cell}, '[+-]?[0-9]+') THEN TRY_CAST({cell} AS BIGINT) END",
-        "money": f"COALESCE(CASE WHEN regexp_full_match({cell}, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?') "
-                 f"THEN TRY_CAST({cell} AS DOUBLE) END, 0.0)",
+        "money": f"CASE WHEN isfinite(TRY_CAST({cell} AS DOUBLE)) AND NOT contains({cell}, ' ') "
+                 f"THEN TRY_CAST({cell} AS DOUBLE) ELSE 0.0 END",
         "date": f"CASE WHEN regexp_full_match({cell}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') "
                 f"THEN TRY_CAST({cell} AS DATE) END",
     }[kind]

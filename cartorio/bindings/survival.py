@@ -9,7 +9,6 @@ from cartorio.bindings import frames as b
 from cartorio.bindings.frames import with_views
 from cartorio.bindings.registry import register
 from cartorio.functions import fixed
-from cartorio.operators.shares import running_total_desc
 from cartorio.operators.skew import salted_join
 from cartorio.plans import survival as km
 
@@ -123,7 +122,10 @@ def _(spark, d):
     FROM (SELECT event_type, CAST(hour(ts) AS INTEGER) AS hour, COUNT(*) AS n FROM events GROUP BY 1, 2)""")
 def _(spark, d):
     hours = b.table(spark, d, "events").groupBy("event_type", F.hour("ts").alias("hour")).agg(F.count("*").alias("n"))
-    return running_total_desc(hours, ["event_type"], "hour", "n", "at_risk")
+    counts = hours.select(F.lit("type").alias("stratum_kind"), F.col("event_type").alias("stratum"),
+                          F.col("hour").alias("duration"), F.lit(0).alias("d"), F.col("n").alias("c"))
+    return km.life_table(counts).select(
+        F.col("stratum").alias("event_type"), F.col("duration").alias("hour"), F.col("c").alias("n"), "at_risk")
 
 
 @register("km_running_product", _sql("SELECT stratum_kind, stratum, duration, ROUND(s, 6) AS s FROM steps", *_BOTH))
@@ -213,11 +215,18 @@ def _(spark, d):
     return km.km_milestones(counts).drop("stratum_kind")
 
 
+_WIDE = f"""wide AS (SELECT stratum_kind, stratum,
+    {', '.join(f'MAX(survival) FILTER (WHERE milestone_days = {m}) AS m{m}' for m in fixed.MILESTONE_DAYS)}
+    FROM milestones GROUP BY 1, 2)"""
+
+
 @register("survival_overview", _sql(f"""
-    SELECT c.stratum_kind, replace(c.stratum, 'Min. ', '') AS stratum, c.t, c.survival, total_cases, events_count,
-           censored_count, median_days
-    FROM thin c JOIN totals t ON {_same('c', 't')} LEFT JOIN medians d ON {_same('c', 'd')}
-    WHERE {_IN_TOP.format('c')}""", *_BOTH, more=_TOP + ", " + _thin(
+    SELECT c.stratum_kind, CASE WHEN c.stratum_kind = 'judge' THEN replace(c.stratum, 'Min. ', '') ELSE c.stratum END AS stratum,
+           c.t, c.survival, total_cases, events_count, censored_count, median_days,
+           {', '.join(f"CASE WHEN c.stratum_kind <> 'judge' THEN w.m{m} END AS m{m}" for m in fixed.MILESTONE_DAYS)},
+           CASE WHEN c.stratum_kind = 'judge' THEN ROUND(w.m365 * 100, 1) END AS one_year_retention_pct
+    FROM thin c JOIN wide w ON {_same('c', 'w')} JOIN totals t ON {_same('c', 't')} LEFT JOIN medians d ON {_same('c', 'd')}
+    WHERE {_IN_TOP.format('c')}""", *_BOTH, more=_TOP + ", " + _WIDE + ", " + _thin(
         "(CASE stratum_kind WHEN 'global' THEN 40 WHEN 'class' THEN 20 ELSE 15 END)")))
 def _(spark, d):
     return km.survival_overview(cases(spark, d), 3, 7)

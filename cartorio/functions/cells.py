@@ -34,8 +34,9 @@ def safe_int(cell: Column) -> Column:
 
 
 def safe_money(cell: Column) -> Column:
-    """Double, 0.0 for missing or unreadable amounts."""
-    return F.coalesce(F.when(cell.rlike(_NUMBER), cell.try_cast("double")), F.lit(0.0))
+    """Finite double, 0.0 for missing, unreadable or overlarge amounts."""
+    amount = F.when(cell.rlike(_NUMBER), cell.try_cast("double"))
+    return F.coalesce(F.when(F.abs(amount) < float("inf"), amount), F.lit(0.0))
 
 
 def safe_date(cell: Column) -> Column:

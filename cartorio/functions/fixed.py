@@ -65,6 +65,13 @@ ENTITY_DATASETS = {
     "dim_origin": "processos",
     "dim_process_type": "processos",
     "dim_rapporteur": "processos",
+    "dim_subject": "processos",
+    "dim_personnel": "pessoal",
+    "pessoal": "pessoal",
+    "fact_remuneration": "remuneracao",
+    "remuneracao": "remuneracao",
+    "fact_budget": "orcamento",
+    "orcamento": "orcamento",
     "fact_processes": "processos",
     "processos": "processos",
     "fact_decisions": "decisoes",
@@ -74,7 +81,8 @@ ENTITY_DATASETS = {
     "repercussao_geral": "repercussao_geral",
 }
 
-# Messages of the quality checks, failed and passed; braces name measured figures.
+# Messages of the quality checks, failed and passed; braces name measured figures. The message
+# of invalid states is our own, as their number has no bound.
 CHECK_MESSAGES = {
     "unique_key": ("Found {duplicates} duplicate {key} entries.", "All {key} values are unique."),
     "not_null_critical_fields": (
@@ -89,7 +97,7 @@ CHECK_MESSAGES = {
     "temporal_scope_undated": (
         "No valid date records found in column {column} for {dataset}.", ""),
     "valid_uf_domains": (
-        "Invalid UFs detected: {{{names}}}", "All UFs belong to valid Brazilian state codes."),
+        "Invalid UFs detected: {invalid_states} different codes.", "All UFs belong to valid Brazilian state codes."),
     "not_null_decision_date": ("{null_dates} null decision dates found.", "All decision dates are populated."),
     "referential_temporal_consistency": (
         "{early} decisions precede their process distribution date.",

@@ -31,10 +31,14 @@ class Check:
     good: Column
     details: dict[str, Column] = field(default_factory=dict)
     layer: str = "silver"
+    #: details are left empty where this does not hold
+    given: Column | None = None
 
     def row(self) -> Column:
         entries = [x for k, v in self.details.items() for x in (F.lit(k), v.cast("string"))]
         details = F.create_map(*entries) if entries else F.expr("cast(map() as map<string,string>)")
+        if self.given is not None:
+            details = F.when(self.given, details).otherwise(F.expr("cast(map() as map<string,string>)"))
         failed = F.coalesce(self.failed, F.lit(False))
         return F.struct(
             F.lit(self.name).alias("check_name"), F.lit(self.layer).alias("target_layer"),
@@ -66,14 +70,26 @@ def messages(kind: str, **literals: object) -> tuple[Column, Column]:
     return message(bad, **literals), message(good, **literals)
 
 
-def duplicate_count(df: DataFrame, key: str, name: str = "duplicates") -> DataFrame:
-    """Rows beyond the first of each key; NULL counts as one key value.
+def keyed_figures(
+    df: DataFrame, key: str, counts: dict[str, Column], spans: dict[str, Column] | None = None,
+) -> DataFrame:
+    """One row: ``duplicates`` and ``null_ids`` of the key, rows under each of the conditions, least and
+    largest value of each span as ``min_`` and ``max_`` columns.
 
-    Two aggregates, both merging on the map side: the most frequent key costs one row per input
-    partition, and no set of keys is held anywhere.
+    ``duplicates`` are rows beyond the first of each key, NULL being one key value. All figures add up over
+    keys, so one pass gives them: two aggregates, both merging on the map side. The most frequent key costs
+    one row per input partition.
     """
-    per_key = df.groupBy(key).agg(F.count("*").alias("n"))
-    return per_key.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias(name))
+    spans = spans or {}
+    per_key = df.groupBy(key).agg(
+        F.count("*").alias("_n"), *[F.count_if(c).alias(n) for n, c in counts.items()],
+        *[f(c).alias(f"{p}_{n}") for n, c in spans.items() for f, p in ((F.min, "min"), (F.max, "max"))])
+    zero = F.lit(0).cast("bigint")
+    return per_key.agg(
+        F.coalesce(F.sum(F.col("_n") - 1), zero).alias("duplicates"),
+        F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("_n"))), zero).alias("null_ids"),
+        *[F.coalesce(F.sum(n), zero).alias(n) for n in counts],
+        *[f(f"{p}_{n}").alias(f"{p}_{n}") for n in spans for f, p in ((F.min, "min"), (F.max, "max"))])
 
 
 def side_by_side(*one_row: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cartorio.functions import fixed
 from cartorio.functions.cells import count_where, percent
 from cartorio.operators.joins import (
-    cross_join_total, decisions_per_case, join_fact_dim_date, join_fact_origin, left_join_stats,
+    decisions_per_case, join_fact_dim_date, join_fact_origin, left_join_stats,
 )
 from cartorio.operators.shares import share_of_total, top_k
 
@@ -205,7 +205,9 @@ def lead_time_boxplot(decisions: DataFrame, processes: DataFrame) -> DataFrame:
 
 
 def judge_case_stats(processes: DataFrame) -> DataFrame:
-    return processes.where("relator is not null").groupBy("relator").agg(
+    """Cases per judge; ``named`` is the judge again, NULL for the row of cases without one."""
+    return processes.groupBy("relator").agg(
+        F.max("relator").alias("named"),
         F.count("*").alias("total_cases"),
         count_where(_status(fixed.ACTIVE)).alias("active_cases"),
         count_where(_status(fixed.ARCHIVED)).alias("archived_cases"),
@@ -246,8 +248,11 @@ def judges_caseload(processes: DataFrame, decisions: DataFrame) -> DataFrame:
     """Workload per judge; judges without cases do not appear, the share counts all cases."""
     ruled = judge_decision_stats(decisions, processes)
     fill = {c: 0 for c in ruled.columns if c != "relator"}
-    stats = left_join_stats(judge_case_stats(processes), ruled, "relator", fill)
-    return cross_join_total(stats, processes, "court_total").select(
+    cases = judge_case_stats(processes)
+    # an aggregate, unlike the key, is not filtered before the count: one pass serves rows and total
+    total = cases.agg(F.sum("total_cases").alias("court_total"))
+    stats = left_join_stats(cases.where("named is not null"), ruled, "relator", fill)
+    return stats.crossJoin(F.broadcast(total)).select(
         "relator", "total_cases", "active_cases", "archived_cases", "judged_cases",
         "total_decisions", "monocratic_decisions", "collegial_decisions",
         percent(F.col("total_cases"), F.col("court_total")).alias("pct_caseload"),

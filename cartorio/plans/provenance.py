@@ -11,6 +11,8 @@ from cartorio.functions import fixed
 from cartorio.sources.manifest import MANIFEST_SCHEMA, file_sha256
 from cartorio.sources.paths import readable
 
+#: The curated table that no landing file is behind.
+GENERATED = "dim_date"
 LAYERS = ["SOURCE", "BRONZE_RAW", "SILVER_CLEAN", "GOLD_ANALYTICAL"]
 
 
@@ -100,16 +102,22 @@ def lineage_trace(
 ) -> DataFrame:
     """Nodes from the source to the curated table behind each (entity, dataset), in layer order.
 
-    The raw node appears only with a manifest row; the Gold node has the curated table's own row
-    count; an unknown entity yields a single ERROR node.
+    The raw node appears only with manifest rows. It sums the records of all files of the last
+    ingestion; a single file gives its name and hash too. The Gold node has the curated table's own
+    row count. The calendar is generated, so it has no file behind it. An unknown entity yields a
+    single ERROR node.
     """
-    last = latest_manifest(manifest).select(
-        F.col("dataset_name").alias("dataset"), "original_filename", "dataset_version",
-        "file_hash_sha256", F.col("row_count").alias("raw_rows"))
+    one = F.col("n_files") == 1
+    last = latest_ingestion(manifest).groupBy(F.col("dataset_name").alias("dataset")).agg(
+        F.count("*").alias("n_files"), F.sum("row_count").alias("raw_rows"), F.max("dataset_version").alias("dataset_version"),
+        F.max("original_filename").alias("file"), F.max("file_hash_sha256").alias("hash"))
+    last = last.withColumns({"file": F.when(one, F.col("file")).otherwise(F.concat(F.col("n_files"), F.lit(" files"))),
+                             "hash": F.when(one, F.col("hash"))})
     silver = silver_counts.select(F.col("table_name").alias("dataset"), F.col("n_rows").alias("silver_rows"))
     gold = gold_counts.select(F.col("table_name").alias("gold_name"), F.col("n_rows").alias("gold_rows"))
     own = F.col("entity").rlike("^(fact|dim)_")
-    known = entities.where("dataset is not null").join(last, "dataset", "left").join(silver, "dataset", "left")
+    made = F.col("entity") == GENERATED
+    known = entities.where(F.col("dataset").isNotNull() | made).join(last, "dataset", "left").join(silver, "dataset", "left")
     known = known.withColumn(
         "gold_name", F.when(own, F.col("entity")).otherwise(F.coalesce(
             F.try_element_at(_gold_of_dataset(), F.col("dataset")), F.concat(F.lit("fact_"), "dataset"))),
@@ -122,15 +130,16 @@ def lineage_trace(
             version.alias("version"), digest.alias("hash_or_checksum"), rows.alias("row_count"))
 
     nodes = F.array(
-        node(1, F.lit("Court open data portal"), F.lit("Official Portal"), none_s, none_n),
-        node(2, F.concat_ws("/", F.lit("raw"), "dataset", "original_filename"),
-             F.col("dataset_version"), F.col("file_hash_sha256"), F.col("raw_rows")),
+        node(1, F.when(made, "Generated calendar").otherwise("Court open data portal"),
+             F.when(made, "Generated").otherwise("Official Portal"), none_s, none_n),
+        node(2, F.concat_ws("/", F.lit("raw"), "dataset", "file"), F.col("dataset_version"), F.col("hash"), F.col("raw_rows")),
         node(3, F.concat(F.lit("silver/"), "dataset"), F.lit("v0.1.0-clean"), none_s, F.col("silver_rows")),
         node(4, F.col("gold_name"), F.lit("v0.1.0-star"), none_s, F.col("gold_rows")),
     )
-    traced = known.select("entity", "file_hash_sha256", F.explode(nodes).alias("node")).where(
-        (F.col("node.layer_rank") != 2) | F.col("file_hash_sha256").isNotNull()).select("entity", "node.*")
-    unknown = entities.where("dataset is null").select(
+    rank = F.col("node.layer_rank")
+    traced = known.select("entity", "n_files", made.alias("made"), F.explode(nodes).alias("node")).where(
+        ((rank != 2) | F.col("n_files").isNotNull()) & (~rank.isin(2, 3) | ~F.col("made"))).select("entity", "node.*")
+    unknown = entities.where(F.col("dataset").isNull() & ~made).select(
         "entity", F.lit(0).alias("layer_rank"), F.lit("ERROR").alias("layer"),
         F.lit("unknown entity").alias("name"), none_s.alias("version"), none_s.alias("hash_or_checksum"),
         none_n.alias("row_count"))
@@ -140,7 +149,7 @@ def lineage_trace(
 
 
 def _gold_of_dataset() -> Column:
-    """Curated fact of each Silver dataset."""
-    pairs = {d: e for e, d in fixed.ENTITY_DATASETS.items() if e.startswith("fact_")}
+    """Curated table of each Silver dataset: its fact, or the dimension of people."""
+    pairs = {d: e for e, d in fixed.ENTITY_DATASETS.items() if e.startswith("fact_") or e == "dim_personnel"}
     return F.create_map(*[F.lit(x) for kv in sorted(pairs.items()) for x in kv])
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cartorio.functions import fixed
 from cartorio.functions.cells import count_where
-from cartorio.operators.checks import COLUMNS, FAIL, PASS, Check, check_rows, duplicate_count, message, messages, side_by_side
+from cartorio.operators.checks import COLUMNS, FAIL, PASS, Check, check_rows, keyed_figures, message, messages, side_by_side
 from cartorio.operators.joins import decisions_per_case
 from cartorio.plans.provenance import latest_ingestion, path_key
 from cartorio.sources.manifest import file_sha256
@@ -18,14 +18,9 @@ from cartorio.sources.manifest import file_sha256
 STATES = sorted(s for states in fixed.STATES_BY_REGION.values() for s in states)
 
 
-def _scope_figures(column: str, first: int, last: int) -> list[Column]:
+def _scope_counts(column: str, first: int, last: int) -> dict[str, Column]:
     year = F.year(column)
-    return [
-        F.count(column).alias("dated"),
-        F.min(year).alias("min_year"),
-        F.max(year).alias("max_year"),
-        count_where((year < first) | (year > last)).alias("out_of_scope"),
-    ]
+    return {"dated": F.col(column).isNotNull(), "out_of_scope": (year < first) | (year > last)}
 
 
 def _temporal_scope(dataset: str, column: str, first: int, last: int) -> Check:
@@ -37,6 +32,7 @@ def _temporal_scope(dataset: str, column: str, first: int, last: int) -> Check:
         f"temporal_scope_{first}_{last}", dataset, (dated == 0) | (out > 0),
         F.when(dated == 0, undated).otherwise(bad), good,
         {"min_year": lo, "max_year": hi, "out_of_bounds_count": out, "total_records": dated},
+        given=dated > 0,
     )
 
 
@@ -61,17 +57,6 @@ def invalid_states(processes: DataFrame, valid: list[str] = STATES) -> DataFrame
     return found.join(F.broadcast(domain), "uf_origem", "left_anti")
 
 
-def _invalid_state_figures(processes: DataFrame, valid: list[str], listed: int = 1000) -> DataFrame:
-    """Number of invalid codes, and their list while it is short enough for a message.
-
-    ``invalid_states`` has all of them whatever their number.
-    """
-    bad = invalid_states(processes, valid)
-    names = bad.orderBy("uf_origem").limit(listed).agg(F.sort_array(F.collect_list("uf_origem")).alias("names"))
-    return bad.agg(F.count("*").alias("invalid_states")).crossJoin(F.broadcast(names)).withColumn(
-        "names", F.when(F.col("invalid_states") <= listed, F.array_join("names", ", ")))
-
-
 # ---------------------------------------------------------------- checks per table
 
 
@@ -82,36 +67,26 @@ def check_processes(
     ceiling = (current_year or date.today().year) + 1
     year = F.year("data_distribuicao")
     figures = side_by_side(
-        processes.agg(
-            count_where(F.col("process_id").isNull()).alias("null_ids"),
-            count_where(F.col("data_distribuicao").isNull()).alias("null_dates"),
-            count_where((year < 1980) | (year > ceiling)).alias("odd_years"),
-            *_scope_figures("data_distribuicao", first, last),
-        ),
-        duplicate_count(processes, "process_id"),
-        _invalid_state_figures(processes, valid_states),
-    )
+        keyed_figures(processes, "process_id", {
+            "null_dates": F.col("data_distribuicao").isNull(), "odd_years": (year < 1980) | (year > ceiling),
+            **_scope_counts("data_distribuicao", first, last)}, {"year": year}),
+        invalid_states(processes, valid_states).agg(F.count("*").alias("invalid_states")))
     ids, dates, bad = (F.col(c) for c in ("null_ids", "null_dates", "invalid_states"))
-    listed, valid = messages("valid_uf_domains")
-    counted = message("Invalid UFs detected: {invalid_states} different codes.")
     return check_rows(figures, [
         _unique_key("primary_key_uniqueness", "processos", "process_id"),
         Check("not_null_critical_fields", "processos", (ids > 0) | (dates > 0),
               *messages("not_null_critical_fields"), {"null_ids": ids, "null_dates": dates}),
         _none_of("reasonable_dates", "processos", "odd_years", "invalid_date_count"),
         _temporal_scope("processos", "data_distribuicao", first, last),
-        Check("valid_uf_domains", "processos", bad > 0, F.when(F.col("names").isNull(), counted).otherwise(listed),
-              valid, {"invalid_ufs": F.col("names"), "invalid_uf_count": bad}),
+        # the codes themselves may be any number: they are rows of ``invalid_states``
+        Check("valid_uf_domains", "processos", bad > 0, *messages("valid_uf_domains"), {"invalid_uf_count": bad}),
     ])
 
 
 def check_decisions(decisions: DataFrame, first: int = fixed.FIRST_YEAR, last: int = fixed.LAST_YEAR) -> DataFrame:
-    figures = side_by_side(
-        decisions.agg(
-            count_where(F.col("data_decisao").isNull()).alias("null_dates"),
-            *_scope_figures("data_decisao", first, last)),
-        duplicate_count(decisions, "decision_id"),
-    )
+    figures = keyed_figures(decisions, "decision_id", {
+        "null_dates": F.col("data_decisao").isNull(), **_scope_counts("data_decisao", first, last)},
+        {"year": F.year("data_decisao")})
     return check_rows(figures, [
         _unique_key("primary_key_uniqueness", "decisoes", "decision_id"),
         _none_of("not_null_decision_date", "decisoes", "null_dates", "null_dates"),
@@ -119,7 +94,7 @@ def check_decisions(decisions: DataFrame, first: int = fixed.FIRST_YEAR, last: i
     ])
 
 
-def check_referential(decisions: DataFrame, processes: DataFrame) -> DataFrame:
+def _reference_figures(decisions: DataFrame, processes: DataFrame) -> DataFrame:
     """Decisions before their case began, and decisions without a known case.
 
     Both figures come from one join of per-case counts, so one case with very many decisions
@@ -129,25 +104,30 @@ def check_referential(decisions: DataFrame, processes: DataFrame) -> DataFrame:
     cases = processes.select("process_id", "data_distribuicao", F.lit(True).alias("known"))
     joined = per_case.join(cases, "process_id", "left")
     early = F.when(F.col("data_decisao") < F.col("data_distribuicao"), F.col("n"))
-    figures = joined.agg(
+    return joined.agg(
         F.coalesce(F.sum(early), F.lit(0)).alias("early"),
         F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("n"))), F.lit(0)).alias("orphans"),
     )
-    return check_rows(figures, [
-        _none_of("referential_temporal_consistency", "cross_process_decision", "early", "anomalous_dates"),
-        Check("referential_orphans", "cross_process_decision", F.col("orphans") > 0,
-              message("{orphans} decisions have no known process."), message("All decisions belong to a known process."),
-              {"orphan_decisions": F.col("orphans")}),
-    ])
+
+
+def check_referential(decisions: DataFrame, processes: DataFrame, orphans: bool = False) -> DataFrame:
+    """Order of dates between a decision and its case; with ``orphans`` also decisions without a case.
+
+    The second check is not part of the contract, so it counts in totals and gate only where asked for.
+    """
+    checks = [
+        _none_of("referential_temporal_consistency", "cross_process_decision", "early", "anomalous_dates")]
+    if orphans:
+        checks.append(Check(
+            "referential_orphans", "cross_process_decision", F.col("orphans") > 0,
+            message("{orphans} decisions have no known process."), message("All decisions belong to a known process."),
+            {"orphan_decisions": F.col("orphans")}))
+    return check_rows(_reference_figures(decisions, processes), checks)
 
 
 def check_remuneration(remuneration: DataFrame) -> DataFrame:
-    figures = side_by_side(
-        remuneration.agg(
-            count_where(F.col("remuneracao_liquida") < 0).alias("negative_net"),
-            count_where(F.col("abate_teto") < 0).alias("negative_cut")),
-        duplicate_count(remuneration, "remuneracao_id"),
-    )
+    figures = keyed_figures(remuneration, "remuneracao_id", {
+        "negative_net": F.col("remuneracao_liquida") < 0, "negative_cut": F.col("abate_teto") < 0})
     return check_rows(figures, [
         _unique_key("remuneration_pk_uniqueness", "remuneracao", "remuneracao_id"),
         _none_of("non_negative_net_salary", "remuneracao", "negative_net", "negative_count"),
@@ -158,12 +138,8 @@ def check_remuneration(remuneration: DataFrame) -> DataFrame:
 def check_budget(budget: DataFrame, first: int = fixed.FIRST_YEAR, last: int = fixed.LAST_YEAR) -> DataFrame:
     """Negative amounts (the initial grant is not tested) and years before the first."""
     spent = [F.col(c) < 0 for c in ("dotacao_atualizada", "empenhado", "liquidado", "pago")]
-    figures = side_by_side(
-        budget.agg(
-            count_where(reduce(lambda a, b: a | b, spent)).alias("negative"),
-            count_where(F.col("ano_exercicio") < first).alias("early_years")),
-        duplicate_count(budget, "orcamento_id"),
-    )
+    figures = keyed_figures(budget, "orcamento_id", {
+        "negative": reduce(lambda a, b: a | b, spent), "early_years": F.col("ano_exercicio") < first})
     return check_rows(figures, [
         _unique_key("budget_pk_uniqueness", "orcamento", "orcamento_id"),
         _none_of("non_negative_budget_values", "orcamento", "negative", "negative_count"),
@@ -186,25 +162,42 @@ def missing_table(spark: SparkSession, dataset: str, path: str) -> DataFrame:
     return _single(spark, "file_exists", "silver", dataset, FAIL, f"Parquet file not found at {path}")
 
 
-def check_checksums(manifest: DataFrame, hashes: DataFrame) -> DataFrame:
-    """The files of each dataset's last ingestion against their hashes now."""
+def file_states(manifest: DataFrame, hashes: DataFrame) -> DataFrame:
+    """(dataset, file_path, state, recorded_hash, computed_hash) of every file of each last ingestion.
+
+    ``state`` is ``same``, ``altered`` or ``missing``. As many rows as landing files.
+    """
     latest = latest_ingestion(manifest).select("dataset_name", "file_path", "file_hash_sha256")
-    now = hashes.select(path_key("file_path").alias("_path"), F.col("file_hash_sha256").alias("computed"))
+    now = hashes.select(path_key("file_path").alias("_path"), F.col("file_hash_sha256").alias("computed_hash"))
     joined = latest.withColumn("_path", path_key("file_path")).join(now, "_path", "left")
-    missing, same = F.col("computed").isNull(), F.col("computed") == F.col("file_hash_sha256")
-    empty = F.expr("cast(map() as map<string,string>)")
-    altered, unaltered = messages("checksum_integrity")
-    gone, _ = messages("raw_file_presence")
     return joined.select(
+        F.col("dataset_name").alias("dataset"), "file_path",
+        F.when(F.col("computed_hash").isNull(), "missing").when(
+            F.col("computed_hash") == F.col("file_hash_sha256"), "same").otherwise("altered").alias("state"),
+        F.col("file_hash_sha256").alias("recorded_hash"), "computed_hash")
+
+
+def check_checksums(manifest: DataFrame, hashes: DataFrame) -> DataFrame:
+    """One check row per dataset: the files of its last ingestion against their hashes now.
+
+    A missing file outweighs an altered one; the message names the first of them. ``file_states`` has
+    all files.
+    """
+    state = F.col("state")
+    sums = file_states(manifest, hashes).groupBy("dataset").agg(
+        F.count("*").alias("files"), count_where(state == "missing").alias("missing"),
+        count_where(state == "altered").alias("altered"),
+        F.min(F.when(state == "missing", F.col("file_path"))).alias("file_path"))
+    missing, altered = F.col("missing") > 0, F.col("altered") > 0
+    bad, good = messages("checksum_integrity")
+    gone, _ = messages("raw_file_presence")
+    return sums.select(
         F.when(missing, "raw_file_presence").otherwise("checksum_integrity").alias("check_name"),
-        F.lit("bronze").alias("target_layer"),
-        F.col("dataset_name").alias("dataset"),
-        F.when(same, PASS).otherwise(FAIL).alias("status"),
-        F.when(missing, gone).when(same, unaltered).otherwise(altered).alias("message"),
-        F.when(missing, empty).otherwise(F.create_map(
-            F.lit("recorded_hash"), F.col("file_hash_sha256"), F.lit("computed_hash"), F.col("computed"),
-        )).alias("details"),
-    )
+        F.lit("bronze").alias("target_layer"), "dataset",
+        F.when(missing | altered, FAIL).otherwise(PASS).alias("status"),
+        F.when(missing, gone).when(altered, bad).otherwise(good).alias("message"),
+        F.create_map(*[x for c in ("files", "missing", "altered") for x in (
+            F.lit(f"{c}_count"), F.col(c).cast("string"))]).alias("details"))
 
 
 def check_files(spark: SparkSession, manifest: DataFrame, raw: str) -> DataFrame:
@@ -218,9 +211,13 @@ def check_files(spark: SparkSession, manifest: DataFrame, raw: str) -> DataFrame
 def all_checks(
     spark: SparkSession, silver: dict[str, DataFrame], silver_dir: str = "silver",
     first: int = fixed.FIRST_YEAR, last: int = fixed.LAST_YEAR,
-    manifest: DataFrame | None = None, raw: str | None = None, current_year: int | None = None,
+    manifest: DataFrame | None = None, hashes: DataFrame | None = None, current_year: int | None = None,
+    orphans: bool = False,
 ) -> DataFrame:
-    """Check rows of all tables present; a missing required table is a failed check."""
+    """Check rows of all tables present; a missing required table is a failed check.
+
+    ``hashes`` are those of the landing files now, see ``file_sha256``.
+    """
     parts: list[DataFrame] = []
     if "processos" in silver:
         parts.append(check_processes(silver["processos"], first, last, current_year))
@@ -231,13 +228,13 @@ def all_checks(
     else:
         parts.append(missing_table(spark, "decisoes", f"{silver_dir}/decisoes"))
     if "processos" in silver and "decisoes" in silver:
-        parts.append(check_referential(silver["decisoes"], silver["processos"]))
+        parts.append(check_referential(silver["decisoes"], silver["processos"], orphans))
     if "remuneracao" in silver:
         parts.append(check_remuneration(silver["remuneracao"]))
     if "orcamento" in silver:
         parts.append(check_budget(silver["orcamento"], first, last))
-    if manifest is not None and raw is not None:
-        parts.append(check_files(spark, manifest, raw))
+    if manifest is not None and hashes is not None:
+        parts.append(check_checksums(manifest, hashes))
     return reduce(DataFrame.unionByName, [p.select(*COLUMNS) for p in parts])
 
 
@@ -253,7 +250,7 @@ def report_totals(results: DataFrame) -> DataFrame:
 
 
 def quality_report(results: DataFrame, timestamp: str | None = None) -> DataFrame:
-    """Totals with the list of check rows; there are as many rows as rules."""
+    """Totals with the list of check rows; there are as many rows as rules, and one per dataset for its files."""
     when = timestamp or datetime.now(timezone.utc).isoformat()
     listed = results.agg(F.collect_list(F.struct(*COLUMNS)).alias("results"))
     return report_totals(results).crossJoin(listed).withColumn("timestamp", F.lit(when))

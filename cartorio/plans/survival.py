@@ -87,8 +87,8 @@ def _rounded() -> Column:
     return F.bround("s", 4)
 
 
-def km_points(counts: DataFrame) -> DataFrame:
-    """Curve points, each with its stratum's cases, events, censored cases and median.
+def km_points(counts: DataFrame, milestones: list[int] | None = None) -> DataFrame:
+    """Curve points, each with its stratum's cases, events, censored cases, median and asked milestones ``m<days>``.
 
     The curve starts at (0, 1.0) and steps at each event time. A stratum without events has two
     points, the other being (longest duration, 1.0).
@@ -99,6 +99,7 @@ def km_points(counts: DataFrame) -> DataFrame:
         "events_count": F.sum("d").over(whole),
         "censored_count": F.sum("c").over(whole),
         "median_days": _median().over(whole),
+        **{f"m{m}": F.coalesce(_last_step(m).over(whole), F.lit(1.0)) for m in milestones or []},
         "_first": F.row_number().over(Window.partitionBy(*_STRATUM).orderBy("duration")) == 1,
         "_last": F.max("duration").over(whole) == F.col("duration"),
     })
@@ -111,7 +112,7 @@ def km_points(counts: DataFrame) -> DataFrame:
         F.when(F.col("d") > 0, point(F.col("duration"), _rounded())),
         F.when(F.col("_last") & (F.col("events_count") == 0), point(F.col("duration"), F.lit(1.0))),
     ))
-    stats = ["total_cases", "events_count", "censored_count", "median_days"]
+    stats = ["total_cases", "events_count", "censored_count", "median_days", *[f"m{m}" for m in milestones or []]]
     return steps.select(*_STRATUM, *stats, F.inline(points)).select(*_STRATUM, "t", "survival", *stats)
 
 
@@ -120,11 +121,13 @@ def km_curve(counts: DataFrame) -> DataFrame:
     return km_points(counts).select(*_STRATUM, "t", "survival")
 
 
+def _last_step(m: int) -> Column:
+    """Rounded probability of the last event step up to ``m`` days, NULL before the first; the curve only falls."""
+    return F.min(F.when((F.col("d") > 0) & (F.col("duration") <= m), _rounded()))
+
+
 def _milestone(m: int) -> Column:
-    """Rounded probability of the last event step up to ``m`` days, 1.0 before the first."""
-    reached = (F.col("d") > 0) & (F.col("duration") <= m)
-    last = F.max_by(F.when(reached, _rounded()), F.when(reached, F.col("duration")))
-    return F.coalesce(last, F.lit(1.0)).alias(f"m{m}")
+    return F.coalesce(_last_step(m), F.lit(1.0)).alias(f"m{m}")
 
 
 def stratum_stats(counts: DataFrame, milestones: list[int] = fixed.MILESTONE_DAYS) -> DataFrame:
@@ -202,7 +205,9 @@ def km_by_class(cases: DataFrame, k: int = 5) -> DataFrame:
 
 
 def _short_name() -> Column:
-    return F.replace(F.col("stratum"), F.lit("Min. "), F.lit(""))
+    """Judges without their title; other strata as they are."""
+    short = F.replace(F.col("stratum"), F.lit("Min. "), F.lit(""))
+    return F.when(F.col("stratum_kind") == JUDGE, short).otherwise(F.col("stratum"))
 
 
 def km_by_judge(cases: DataFrame, k: int = 11) -> DataFrame:
@@ -216,10 +221,15 @@ def km_by_judge(cases: DataFrame, k: int = 11) -> DataFrame:
 def survival_overview(cases: DataFrame, classes: int = 5, judges: int = 11) -> DataFrame:
     """Curve points of the whole backlog, the largest classes and the largest caseloads.
 
-    Each point carries its stratum's counts and median; curves are thinned to 40, 20 and 15
+    Each point carries its stratum's counts and median, the milestones of the whole and of the classes
+    (``m<days>``) and the one-year retention of the judges in percent; curves are thinned to 40, 20 and 15
     points as the published overview does.
     """
     counts = life_counts(cases, **{CLASS: "classe_sigla", JUDGE: "relator"})
     kept = largest_strata(counts, {GLOBAL: 1, CLASS: classes, JUDGE: judges}, skip_blank=JUDGE)
     points = F.when(F.col("stratum_kind") == GLOBAL, 40).when(F.col("stratum_kind") == CLASS, 20).otherwise(15)
-    return km_subsample(km_points(kept), points).withColumn("stratum", _short_name())
+    of_judge = F.col("stratum_kind") == JUDGE
+    retention = F.when(of_judge, F.round(F.col("m365") * 100, 1))
+    return km_subsample(km_points(kept, fixed.MILESTONE_DAYS), points).withColumns({
+        "stratum": _short_name(), "one_year_retention_pct": retention,
+        **{f"m{m}": F.when(~of_judge, F.col(f"m{m}")) for m in fixed.MILESTONE_DAYS}})

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -14,7 +15,8 @@ def spark():
     session = (
         SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "6g").getOrCreate()
+        .config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "6g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="cartorio-tests-")).getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

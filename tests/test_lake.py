@@ -46,7 +46,7 @@ def test_medallion_run(spark, lake):
     raw, out = lake
     done = medallion.medallion_run(spark, str(raw), str(out))
     assert done.completed and done.report.first().overall_status == "PASS"
-    assert done.report.first().total_checks == 12
+    assert done.report.first().total_checks == 11
     tables = {n: df.count() for n, df in done.gold.items()}
     assert tables == {"dim_date": 11323, "dim_process_type": 1, "dim_rapporteur": 2, "dim_origin": 1, "dim_subject": 1,
                       "fact_processes": 6, "fact_decisions": 8}
@@ -189,19 +189,12 @@ def small(spark, tmp_path):
     return spark.read.parquet(sinks.write_parquet_zstd(df.coalesce(1), str(tmp_path / "t")))
 
 
-def test_table_format_statistics(spark, small, tmp_path):
-    actions = exports.delta_commit_actions(small, 1700000000000, "id-1").orderBy("action_order").collect()
-    assert [r.action for r in actions] == ["commitInfo", "protocol", "metaData", "add"]
-    add = json.loads(actions[3].json)["add"]
-    assert json.loads(add["stats"]) == {"numRecords": 3} and add["size"] > 0 and add["path"].endswith(".parquet")
-    fields = json.loads(json.loads(actions[2].json)["metaData"]["schemaString"])["fields"]
-    assert [f["type"] for f in fields] == ["string", "long", "string", "double", "boolean"]
-    assert json.loads(actions[1].json) == {"protocol": {"minReaderVersion": 1, "minWriterVersion": 2}}
-    row = exports.iceberg_snapshot_summary(small).first()
-    assert (row.total_records, row.total_data_files, row.format_version) == (3, 1, 2)
-    assert [(f["id"], f["type"]) for f in json.loads(row.fields)][:2] == [(1, "string"), (2, "long")]
+def test_export_of_all_tables(spark, small, tmp_path):
+    row = exports.append_summary(small).first()
+    assert (row.operation, row.total_records, row.total_data_files) == ("append", 3, 1) and row.total_files_size > 0
+    # without the connectors nothing is called by a format that it is not
     made = exports.export_all(spark, {"t": small}, str(tmp_path / "x"), "both").collect()
-    assert [(r.format, r.total_records) for r in made] == [("delta", 3), ("iceberg", 3)]
+    assert [(r.format, r.total_records) for r in made] == [("parquet", 3)]
     with pytest.raises(ValueError):
         exports.export_all(spark, {"t": small}, str(tmp_path / "x"), "hudi")
 

