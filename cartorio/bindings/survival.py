@@ -9,7 +9,6 @@ from cartorio.bindings import frames as b
 from cartorio.bindings.frames import with_views
 from cartorio.bindings.registry import register
 from cartorio.functions import fixed
-from cartorio.operators.skew import salted_join
 from cartorio.plans import survival as km
 
 # the test tables end in 2001; a nearer censoring date mixes events and censored cases
@@ -21,14 +20,14 @@ def cases(spark, d, reference_date: str = REFERENCE) -> DataFrame:
 
 
 def _cases_sql(reference_date: str) -> str:
-    first = """COALESCE((SELECT MIN(d.data_decisao) FROM fact_decisions d WHERE d.process_id = p.process_id),
-                        p.data_distribuicao)"""
     resolved = f"upper(situacao) IN ('{fixed.ARCHIVED}', '{fixed.JUDGED}')"
     return f"""SELECT process_id, classe_sigla, relator, situacao,
             CAST(greatest(1, date_diff('day', data_distribuicao,
                 CASE WHEN {resolved} THEN data_evento ELSE DATE '{reference_date}' END)) AS INTEGER) AS duration,
             CAST({resolved} AS INTEGER) AS event
-        FROM (SELECT p.*, {first} AS data_evento FROM fact_processes p WHERE data_distribuicao IS NOT NULL)"""
+        FROM (SELECT p.*, COALESCE(day, data_distribuicao) AS data_evento FROM fact_processes p
+              LEFT JOIN (SELECT process_id, MIN(data_decisao) AS day FROM fact_decisions GROUP BY process_id) USING (process_id)
+              WHERE data_distribuicao IS NOT NULL)"""
 
 
 FOLLOW_UP = 48  # hours after sign-up
@@ -38,8 +37,9 @@ def users(spark, d) -> DataFrame:
     """Hours from a user's first sign-up to the first later purchase, censored after FOLLOW_UP."""
     events = b.table(spark, d, "events").select("event_id", "user_id", "event_type", F.unix_timestamp("ts").alias("at"))
     start = events.where("event_type = 'signup'").groupBy("user_id").agg(F.min("at").alias("start"))
-    bought = salted_join(events.where("event_type = 'purchase'"), start, "user_id", "event_id").where(
-        "at > start").groupBy("user_id").agg(F.min("at").alias("bought"))
+    # a user's purchases of one second are one row before they meet the sign-up
+    purchases = events.where("event_type = 'purchase'").select("user_id", "at").distinct()
+    bought = purchases.join(start, "user_id").where("at > start").groupBy("user_id").agg(F.min("at").alias("bought"))
     hours = F.floor((F.col("bought") - F.col("start")) / 3600)
     seen = F.coalesce(hours < FOLLOW_UP, F.lit(False))
     return start.join(bought, "user_id", "left").select(

@@ -65,21 +65,27 @@ def _finish(df: DataFrame, out: str | None) -> DataFrame:
     return df.sparkSession.read.parquet(out)
 
 
-def clean_processes(raw: DataFrame, out: str | None = None) -> DataFrame:
-    df = _clean(raw, PROCESSES, "process_id", ("process_id", "data_distribuicao"))
-    return _finish(df.withColumns({
+def derive_processes(df: DataFrame) -> DataFrame:
+    return df.withColumns({
         "ano_distribuicao": F.year("data_distribuicao"),
         "mes_distribuicao": F.month("data_distribuicao"),
-    }), out)
+    })
 
 
-def clean_decisions(raw: DataFrame, out: str | None = None) -> DataFrame:
-    df = _clean(raw, DECISIONS, "decision_id", ("decision_id", "data_decisao"))
-    return _finish(df.withColumns({
+def derive_decisions(df: DataFrame) -> DataFrame:
+    return df.withColumns({
         "categoria_decisao": cells.decision_category(F.col("tipo_decisao")),
         "ano_decisao": F.year("data_decisao"),
         "mes_decisao": F.month("data_decisao"),
-    }), out)
+    })
+
+
+def clean_processes(raw: DataFrame, out: str | None = None) -> DataFrame:
+    return _finish(derive_processes(_clean(raw, PROCESSES, "process_id", ("process_id", "data_distribuicao"))), out)
+
+
+def clean_decisions(raw: DataFrame, out: str | None = None) -> DataFrame:
+    return _finish(derive_decisions(_clean(raw, DECISIONS, "decision_id", ("decision_id", "data_decisao"))), out)
 
 
 def clean_appeals(raw: DataFrame, out: str | None = None) -> DataFrame:

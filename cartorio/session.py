@@ -20,8 +20,8 @@ def build_session(app: str = "cartorio", master: str | None = None, **conf: str)
         # recording the Python call site of every column expression makes plans slow to build
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.dataFrameQueryContext.enabled", "false")
-        # retried reads of checkpoints must find what the first attempt wrote
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "false")
+        # a checkpoint goes once nothing in the session refers to it any more
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master)
