@@ -130,7 +130,48 @@ def mask(docs: DataFrame) -> DataFrame:
          else F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
 
 
-@query("op7_pii")
+# the contract's plain patterns; word bounds in place of look-around
+_SQL_PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
+    "card": r"[0-9](?:[\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    "iban": r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b",
+}
+_SQL_VALID = {
+    "email": "true",
+    "ip": "list_max(list_transform(string_split(v, '.'), lambda x: CAST(x AS DOUBLE))) <= 255",
+    "card": "length(digits) BETWEEN 12 AND 19 AND list_sum(list_transform(string_split(reverse(digits), ''), lambda c, i: "
+            "CASE WHEN i % 2 = 1 THEN CAST(c AS INTEGER) WHEN CAST(c AS INTEGER) > 4 THEN 2 * CAST(c AS INTEGER) - 9 "
+            "ELSE 2 * CAST(c AS INTEGER) END)) % 10 = 0",
+    "phone": "length(digits) BETWEEN 9 AND 15",
+    "iban": "list_reduce(list_transform(string_split(substr(replace(v, ' ', ''), 5) || substr(replace(v, ' ', ''), 1, 4), ''), "
+            "lambda c: CASE WHEN c >= 'A' THEN ascii(c) - 55 ELSE ascii(c) - 48 END), "
+            "lambda a, b: CASE WHEN b > 9 THEN (a * 100 + b) % 97 ELSE (a * 10 + b) % 97 END, 0) = 1",
+}
+
+
+def oracle() -> str:
+    parts = [f"""
+        SELECT doc_id, {k} AS k, s, s + length(v) AS e,
+               CASE WHEN regexp_matches(lower(right(gap, {REACH})), '{CONTEXT[kind]}')
+                    THEN least(1.0, {SCORES[kind]} + {RAISE}) ELSE {SCORES[kind]} END AS score
+        FROM (SELECT doc_id, m[i] AS v, g[i] AS gap, regexp_replace(m[i], '[^0-9]', '', 'g') AS digits,
+                     CAST(list_sum(list_transform(g[1:i], lambda x: length(x)))
+                          + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s
+              FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM (
+                  SELECT doc_id, regexp_extract_all(t, '{_SQL_PATTERNS[kind]}') AS m,
+                         string_split_regex(t, '{_SQL_PATTERNS[kind]}') AS g FROM docs)))
+        WHERE {_SQL_VALID[kind]}""" for k, kind in enumerate(KINDS)]
+    name = "['" + "', '".join(KINDS) + "'][k + 1] || ':' || s || ':' || e"
+    counts = ", ".join(f"COUNT(*) FILTER (WHERE k = {i}) AS n_{kind}" for i, kind in enumerate(KINDS))
+    return f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({' UNION ALL '.join(parts)})
+SELECT doc_id, {counts}, sha256(coalesce(string_agg({name}, ',' ORDER BY s, k) FILTER (WHERE k < {BASE}), '')) AS base_sha256,
+       coalesce(string_agg({name}, ',' ORDER BY s, k), '') AS spans, coalesce(CAST(MAX(score) AS DOUBLE), 0.0) AS top_score
+FROM docs LEFT JOIN found USING (doc_id) GROUP BY doc_id"""
+
+
+@query("op7_pii", oracle())
 def op7(spark, sf_dir):
     found = find(table(spark, sf_dir, "documents"))
     n = lambda i: F.size(F.filter("found", lambda x: x["k"] == i)).cast("long")
