@@ -199,6 +199,39 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, phrases: dict[s
         _scanner(Matcher(templates, phrases)), _SCAN)
 
 
-@query("op10_license_templates")
+# what the templates accept, as patterns over words with single spaces
+_SQL_TEMPLATES = {
+    "apache-2.0-notice": "licensed under the apache license",
+    "bsd-terms": "redistribution and use in source and binary forms with or without modification are permitted "
+                 "provided that the following conditions are met",
+    "gpl-notice": "(is licensed|is free software you can redistribute it and or modify it|licensed|released) under the"
+                  "( terms of the)?( gnu)? general public license",
+    "mit-notice": "(licensed|released|distributed|available) under the( terms of the)? mit license",
+    "mit-terms": "permission is hereby granted free of charge to any person obtaining a copy of( [^ ]+){0,6} and "
+                 "associated documentation files( the software)? to deal in( [^ ]+){0,4} without restriction including "
+                 "without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies",
+}
+
+
+def oracle() -> str:
+    at = " OR ".join(
+        "(" + " AND ".join(f"w[i + {k}] = '{x}'" for k, x in enumerate(p.split(), 1)) + ")" for p in PHRASES)
+    base = ", ".join(f"CASE WHEN contains(line, ' {p} ') THEN '{label}' END" for p, label in PHRASES.items())
+    full = ", ".join(f"CASE WHEN regexp_matches(line, ' {p} ') THEN '{label}' END" for label, p in _SQL_TEMPLATES.items())
+    listed = "array_to_string(list_sort(list_distinct(list_filter([{}], lambda x: x IS NOT NULL))), ',')"
+    return f"""
+WITH lower_case AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+                    FROM documents),
+words AS (SELECT doc_id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM lower_case),
+lines AS (SELECT *, ' ' || array_to_string(w, ' ') || ' ' AS line,
+                 list_filter(range(0, len(w)), lambda i: {at}) AS places FROM words)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_base,
+       list_min(places) AS first_word, list_max(places) AS last_word, {listed.format(base)} AS base_labels,
+       {listed.format(base + ', ' + full)} AS labels,
+       CAST(CASE WHEN {listed.format(full)} <> '' THEN 1.0 WHEN len(places) > 0 THEN 0.5 ELSE 0.0 END AS DOUBLE) AS score
+FROM lines"""
+
+
+@query("op10_license_templates", oracle())
 def op10(spark, sf_dir):
-    return scan(table(spark, sf_dir, "documents"))
+    return scan(table(spark, sf_dir, "documents")).drop("spans")
