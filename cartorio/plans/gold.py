@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from cartorio.functions import fixed
 from cartorio.functions.cells import date_key, trim_text
 from cartorio.operators.keys import dense_row_number
-from cartorio.sources.sinks import write_parquet_zstd
+from cartorio.sources.sinks import side_by_side, write_parquet_zstd
+from cartorio.sources.tables import register_views
 
 
 def _calendar(days: DataFrame) -> DataFrame:
@@ -152,11 +153,13 @@ def write_star_schema(
     ``by_year`` partitions the two large facts by year, so that year filters skip files. Rows are
     rebalanced by year first: few files per year, and a year with very many rows is split.
     """
-    written = {}
-    for name, df in star_schema(spark, silver).items():
-        years = YEAR_PARTITIONS.get(name) if by_year else None
-        rows = df.hint("rebalance", *years) if years else df
-        path = write_parquet_zstd(rows, f"{curated.rstrip('/')}/{name}", years)
-        written[name] = spark.read.parquet(path).select(*df.columns)
-        written[name].createOrReplaceTempView(name)
+    tables, root = star_schema(spark, silver), curated.rstrip("/")
+
+    def write(name: str) -> DataFrame:
+        df, years = tables[name], YEAR_PARTITIONS.get(name) if by_year else None
+        path = write_parquet_zstd(df.hint("rebalance", *years) if years else df, f"{root}/{name}", years)
+        return spark.read.parquet(path).select(*df.columns)
+
+    written = side_by_side(write, list(tables))
+    register_views(written)
     return written

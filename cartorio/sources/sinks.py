@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartorio.functions.fixed import EXPORT_TABLES
 
 
+def side_by_side(work: Callable[[str], Any], names: list[str], most: int = 8) -> dict[str, Any]:
+    """``work`` of each name, several at a time, so that the jobs of small tables share the cluster."""
+    with ThreadPoolExecutor(most) as pool:
+        return dict(zip(names, pool.map(work, names)))
+
+
 def write_parquet_zstd(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> str:
     writer = df.write.mode(mode).option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
