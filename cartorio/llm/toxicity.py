@@ -63,16 +63,28 @@ def _picked(keep):
     return run
 
 
-def _logistic(x_rows, x_cols, scale, y, ridge: float, steps: int):
-    """Weights and intercept of a ridge logistic regression on scaled binary features, by accelerated gradient."""
+def _logistic(lists: list[np.ndarray], scale: np.ndarray, y: np.ndarray, ridge: float, steps: int):
+    """Weights and intercept of a ridge logistic regression on scaled binary features, by adaptive gradient steps.
+
+    ``lists`` has the features of every text. They are worked on some hundred texts at a time, so what is
+    held besides them stays small.
+    """
     n, k = len(y), len(scale)
-    values = scale[x_cols]
+    parts = []
+    for at in range(0, n, 500):
+        own = lists[at:at + 500]
+        parts.append((slice(at, at + len(own)), np.repeat(np.arange(len(own), dtype=np.int32), [len(x) for x in own]),
+                      np.concatenate(own)))
     w, b = np.zeros(k), float(np.log((y.sum() + 1) / (n - y.sum() + 1)))
     m, v = np.zeros(k + 1), np.zeros(k + 1)
     for t in range(1, steps + 1):
-        z = b + np.bincount(x_rows, values * w[x_cols], minlength=n)
-        gap = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y) / n
-        g = np.append(np.bincount(x_cols, values * gap[x_rows], minlength=k) + ridge * w, gap.sum())
+        g, scaled = np.zeros(k + 1), scale * w
+        for texts, rows, cols in parts:
+            z = b + np.bincount(rows, scaled[cols], minlength=texts.stop - texts.start)
+            gap = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y[texts]) / n
+            g[:-1] += np.bincount(cols, gap[rows], minlength=k)
+            g[-1] += gap.sum()
+        g[:-1] = g[:-1] * scale + ridge * w
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         step = 0.05 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-9)
         w, b = w - step[:-1], b - step[-1]
@@ -97,7 +109,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000, features: int
     parts = spark.sparkContext.defaultParallelism
     counted = train.coalesce(max(1, min(16, parts))).mapInArrow(_count, "label long, n long, seen binary").collect()
     seen, n = np.zeros((2, BUCKETS)), np.zeros(2)
-    for r in counted:
+    for r in counted:  # two rows of a megabyte for each of at most 16 tasks
         seen[r["label"]] += np.frombuffer(r["seen"], np.int32)
         n[r["label"]] += r["n"]
     if not n.all():
@@ -112,10 +124,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000, features: int
     keep[best] = np.arange(len(best))
     rows = train.mapInArrow(_picked(keep), "label long, features binary").collect()
     rows.sort(key=lambda r: (r["label"], bytes(r["features"])))  # sums come out alike in every run
-    lists = [np.frombuffer(r["features"], "<i4") for r in rows]
     y = np.array([r["label"] for r in rows], float)
-    x_rows = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    w, b = _logistic(x_rows, np.concatenate(lists), ratio[best], y, ridge, steps)
+    w, b = _logistic([np.frombuffer(r["features"], "<i4") for r in rows], ratio[best], y, ridge, steps)
     out = np.zeros(BUCKETS)
     out[best] = w * ratio[best]
     return out, float(b)
