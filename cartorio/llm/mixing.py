@@ -104,15 +104,21 @@ def mix(docs: DataFrame, seed: int = 1, **how) -> DataFrame:
 
 
 def sample(docs: DataFrame, seed: int = 1, **how) -> DataFrame:
-    """The rows of ``docs`` that ``mix`` samples, with their ``topic`` and ``probability`` as ``mix_`` columns."""
+    """The rows of ``docs`` that ``mix`` samples, with their topic and probability as ``mix_`` columns.
+
+    Other columns stay as they are, whatever their names; ``mix_`` columns of an earlier run are replaced.
+    """
     scratch = Scratch(docs.sparkSession, "mixing")
-    sized = docs.select(*[c.alias(d) for d, c in levels(docs).items()], token_count(docs["text"]).alias("n_tokens"))
+    made = levels(docs)
+    sized = docs.select(*[c.alias(d) for d, c in made.items()], token_count(docs["text"]).alias("n_tokens"))
     cells = calibrate(sized, scratch, **how).select(
         *[F.col(d).alias(f"_{d}") for d in DIMS], F.col("probability").alias("mix_probability"))
-    rows = docs.select("*", *[c.alias(f"_level_{d}") for d, c in levels(docs).items()])
+    names = [c for c in docs.columns if c not in ("mix_topic", "mix_probability")]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"),
+                       *[c.alias(f"_level_{d}") for d, c in made.items()], draw("doc_id", seed).alias("_draw"))
     same = [F.col(f"_level_{d}") == F.col(f"_{d}") for d in DIMS]
-    return rows.join(cells, same).where(draw("doc_id", seed) < F.col("mix_probability")).select(
-        *[F.col(f"`{c}`") for c in docs.columns], F.col("_topic").alias("mix_topic"), "mix_probability")
+    return rows.join(cells, same).where("_draw < mix_probability").select(
+        *[F.col(f"_row.`{c}`") for c in names], F.col("_topic").alias("mix_topic"), "mix_probability")
 
 
 def oracle(rounds: int = ROUNDS, seed: int = 1) -> str:
