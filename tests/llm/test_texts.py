@@ -446,13 +446,13 @@ def test_mixing_reaches_targets(spark):
 def test_mixing_given_targets_and_sample(spark, docs, made):
     made_ = {"source": [("s0", 0.5), ("s1", 0.5)], "lang": [("en", 1.0)], "topic": [("prose", 1.0)]}
     targets = {d: spark.createDataFrame(v, "level string, share double") for d, v in made_.items()}
-    rows = mixing.mix(docs, targets=targets).collect()
+    rows = mixing.mix(docs, targets=targets, rounds=3).collect()
     assert all(r.probability == 0 for r in rows if r.source not in ("s0", "s1") or r.topic != "prose")
-    got = mixing.sample(docs)
+    got = mixing.sample(docs, rounds=3)
     assert got.columns == [*docs.columns, "mix_topic", "mix_probability"]
-    want = Counter(r.doc_id for r in mixing.mix(docs).collect() if r.sampled)
+    want = Counter(r.doc_id for r in mixing.mix(docs, rounds=3).collect() if r.sampled)
     assert Counter(r.doc_id for r in got.collect()) == want
-    assert mixing.sample(docs.limit(0)).count() == 0 and mixing.mix(docs.limit(0)).count() == 0
+    assert mixing.sample(docs.limit(0), rounds=1).count() == 0
 
 
 # --- language model ------------------------------------------------------------------------------------------------
@@ -533,3 +533,38 @@ def test_packed_numbers():
     for x in ([], [0], [1, 2, 300, 70_000], [2 ** 64 - 1, 0, 5]):
         assert language_model.unpack(language_model.pack(np.array(x, np.uint64))).tolist() == x
     assert language_model.unpack(language_model.pack(np.array([3, 9, 2 ** 63], np.uint64), True)).tolist() == [3, 9, 2 ** 63]
+
+
+# --- empty tables, NULLs in every column, clashing names -----------------------------------------------------------
+
+CLASH = ["row", "_row", "_id", "_text", "_found", "_hit", "_draw", "_source", "_level_source", "_topic", "hash", "span",
+         "code", "c", "n", "found", "root", "node", "mix_topic", "probability", "a b", "segment"]
+
+
+def test_clashing_names_and_nulls(spark):
+    rows = [(1, "a plain text of words", "en", "s"), (None, None, None, None), (2, None, "en", None), (3, "", None, "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    for name in CLASH:
+        df = df.withColumn(name, F.lit("x"))
+    bench = spark.createDataFrame([(None, None), (1, None), (None, "a plain")], "item_id long, text string")
+    labels = spark.createDataFrame([(None, None, None), (1, 0, None), (2, 1, 1)], "doc_id long, quality int, toxic int")
+    one = simhash.keep_one(df)
+    assert one.columns == df.columns and sorted(r.doc_id for r in one.collect()) == [1, 2]
+    assert decontaminate.clean(df, bench).count() == 3 and decontaminate.clean(df, bench).columns == df.columns
+    assert pii.mask(df).columns == df.columns and pii.mask(df).count() == 4
+    assert toxicity.reject_toxic(df, labels, threshold=1.1).count() == 4
+    out = mixing.sample(df, rounds=2)
+    assert out.columns == [c for c in df.columns if c != "mix_topic"] + ["mix_topic", "mix_probability"]
+    assert [r.doc_id for r in out.collect()] == [1]
+    assert mixing.mix(df, rounds=2).count() == 4 and licenses.scan(df).count() == 4 and sentences.remove_repeats(df).count() == 4
+    assert language_model.score(df.withColumn("held_out", F.lit(None).cast("boolean"))).count() == 4
+    assert [r.n for r in df.select(tokens.counter([("a", -1.0)])("text").alias("n")).orderBy("n").collect()][:3] == [0, 0, 0]
+
+
+def test_empty_tables(spark, docs):
+    none = docs.limit(0)
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    for out in (simhash.near_duplicates(none), simhash.keep_one(none), sentences.remove_repeats(none), pii.find(none),
+                pii.mask(none), licenses.scan(none), none.select(tokens.counter([("a", -1.0)])("text")),
+                toxicity.reject_toxic(none, labels), mixing.mix(none, rounds=1)):
+        assert out.count() == 0
