@@ -51,26 +51,20 @@ def runs(parts: list[str], least_sentences: int, least_words: int) -> list[tuple
 def _runs(least_sentences, least_words):
     def go(batches):
         for b in batches:
-            ids, keys, hashes, firsts, lasts = [], [], [], [], []
+            rows = []
             for i, key, text in zip(*(c.to_pylist() for c in b.columns)):
-                for h, first, last in runs(sentences(text), least_sentences, least_words):
-                    ids.append(i)
-                    keys.append(key)
-                    hashes.append(h)
-                    firsts.append(first)
-                    lasts.append(last)
-                if len(ids) > 50_000:
-                    yield _run_batch(ids, keys, hashes, firsts, lasts)
-                    ids, keys, hashes, firsts, lasts = [], [], [], [], []
-            yield _run_batch(ids, keys, hashes, firsts, lasts)
+                rows += [(i, key, h, first << 32 | last)
+                         for h, first, last in runs(sentences(text), least_sentences, least_words)]
+                if len(rows) > 50_000:
+                    yield _run_batch(rows)
+                    rows = []
+            yield _run_batch(rows)
     return go
 
 
-def _run_batch(ids, keys, hashes, firsts, lasts):
-    return pa.RecordBatch.from_arrays(
-        [pa.array(x, t) for x, t in ((ids, pa.int64()), (keys, pa.int64()), (hashes, pa.int64()),
-                                     (firsts, pa.int32()), (lasts, pa.int32()))],
-        ["doc_id", "key", "hash", "first", "last"])
+def _run_batch(rows):
+    cols = zip(*rows) if rows else [[]] * 4
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "key", "hash", "span"])
 
 
 def repeated_runs(docs: DataFrame, least_sentences: int = 2, least_words: int = 20) -> DataFrame:
@@ -81,14 +75,18 @@ def repeated_runs(docs: DataFrame, least_sentences: int = 2, least_words: int =
     is one row per task; the join back is an ordinary one, which adaptive execution splits where a hash is hot.
     """
     held = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("key"), "text").mapInArrow(
-        _runs(least_sentences, least_words), "doc_id long, key long, hash long, first int, last int")
-    held = Scratch(docs.sparkSession, "sentences").store(held)
-    place = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "key", "first")  # a hash fixes the words after
+        _runs(least_sentences, least_words), "doc_id long, key long, hash long, span long")
+    scratch = Scratch(docs.sparkSession, "sentences")
+    held = scratch.store(held)
+    place = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "key", "span")
     firsts = held.groupBy("hash").agg(F.count("*").alias("n"), F.min(place).alias("p")).where("n > 1")
-    back = held.join(firsts, "hash").where(
+    # stored, so that the join meets two plain tables and a hot hash can be split
+    back = held.join(scratch.store(firsts.select("hash", "p")), "hash").where(
         ~(F.col("doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("key") == F.col("p.key"))
-          & (F.col("first") == F.col("p.first"))))
-    return back.select("doc_id", "key", "first", "last", F.col("p.doc_id").alias("of"))
+          & (F.col("span") == F.col("p.span"))))
+    return back.select(
+        "doc_id", "key", F.shiftright("span", 32).cast("int").alias("first"),
+        F.col("span").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("last"), F.col("p.doc_id").alias("of"))
 
 
 @F.pandas_udf(T.StructType([
