@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartorio.llm import resemblance
 from cartorio.llm.common import Scratch, components, query, table
 
 #: Bits of a block; a block is a run of two-bit segments.
@@ -86,10 +87,10 @@ def links(prints: DataFrame, bits: int = BITS) -> DataFrame:
         & (earlier == 2)).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
 
 
-def _classes(prints: DataFrame, bits: int, scratch: Scratch) -> DataFrame:
-    """``(fp, class_fp)``: the smallest fingerprint that links reach from each distinct ``fp``."""
+def _classes(prints: DataFrame, bits: int, scratch: Scratch, pairs: DataFrame | None = None) -> DataFrame:
+    """``(fp, class_fp)``: the smallest fingerprint that links, or given ``pairs``, reach from each distinct ``fp``."""
     fps = scratch.store(prints.select("fp").distinct())
-    roots = components(links(fps, bits), scratch).withColumnRenamed("node", "fp")
+    roots = components(links(fps, bits) if pairs is None else pairs, scratch).withColumnRenamed("node", "fp")
     return fps.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("class_fp"))
 
 
@@ -114,15 +115,25 @@ def hex_of(fp: str):
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def keep_one(docs: DataFrame, bits: int = BITS) -> DataFrame:
+def keep_one(docs: DataFrame, bits: int = BITS, words: int | None = None, similarity: float = 0.8) -> DataFrame:
     """One row of each near-duplicate group: that of the smallest id, NULL ids last, then of the smallest text hash.
 
+    With ``words``, texts are near-duplicates where the Jaccard similarity of their shingles of so many words is
+    at least ``similarity``, and none is lost; else where their fingerprints differ in ``bits`` or fewer.
     All columns of ``docs`` stay as they are, whatever their names. Repeated rows count as one.
     """
     scratch = Scratch(docs.sparkSession, "simhash")
     key = [F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_text")]
-    prints = scratch.store(docs.select(*key, simhash("text").alias("fp")))
-    classes = scratch.store(_classes(prints, bits, scratch))
+    if words:
+        # texts without words are copies of each other
+        fp = F.when(F.coalesce("text", F.lit("")).rlike(r"[^ \t\n\x0b\f\r]"), F.xxhash64("text")).otherwise(F.lit(0))
+        texts = docs.select(fp.cast("long").alias("fp"), "text")
+        prints = scratch.store(docs.select(*key, fp.cast("long").alias("fp")))
+        pairs = resemblance.links(texts, words, similarity, scratch)
+    else:
+        prints = scratch.store(docs.select(*key, simhash("text").alias("fp")))
+        pairs = None
+    classes = scratch.store(_classes(prints, bits, scratch, pairs))
     rows = prints.groupBy("_id", "_text", "fp").agg(F.count("*").alias("n")).join(classes, "fp")
     first = rows.groupBy("class_fp").agg(
         F.min(F.struct(F.isnull("_id").alias("none"), "_id", "_text", "n")).alias("c"))

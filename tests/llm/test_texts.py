@@ -122,6 +122,34 @@ def test_simhash_keeps_one_of_each_group(docs, made):
         assert r.doc_id == min((i for i in same if i is not None), default=None)
 
 
+def test_keep_one_by_shingles_loses_no_pair(spark):
+    rng = random.Random(11)
+    line = prose(rng, 40)
+    base = [" ".join(f"{rng.choice(WORDS)}{rng.randrange(60)}" for _ in range(rng.randint(3, 200))) for _ in range(25)]
+    rows = []
+    for t in base:
+        rows.append(t + (" " + line if rng.random() < 0.5 else ""))
+        for _ in range(rng.randint(0, 5)):
+            w = rows[-1].split()
+            for _ in range(rng.randint(1, max(1, len(w) // 30))):
+                w[rng.randrange(len(w))] = f"new{rng.randrange(1000)}"
+            rows.append(" ".join(w).upper() if rng.random() < 0.2 else " ".join(w))
+    rows += [rows[0], None, "", " \n", "one two", "one  two", "one"]
+
+    def grams(t):
+        w = (t or "").lower().split()
+        k = min(5, len(w))
+        return {tuple(w[i:i + k]) for i in range(len(w) - k + 1)} if w else set()
+    sets = [grams(t) for t in rows]
+    like = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-9
+    root = roots_plain(list(range(len(rows))), like)
+    prints = [fingerprint_plain(t) for t in rows]
+    far = sum(like(a, b) and bin(prints[a] ^ prints[b]).count("1") > 3 for a in range(len(rows)) for b in range(a))
+    assert far > 10  # pairs that fingerprints within 3 bits pass over
+    kept = simhash.keep_one(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), words=5)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root.values()))
+
+
 def test_sentence_runs(spark, docs, made):
     rng = random.Random(8)
     passage = prose(rng, 60)
