@@ -1,6 +1,7 @@
 """All queries of this package: importing it fills the registry."""
 
 from cartorio.llm import (  # noqa: F401  (they register)
+    conversations,
     decontaminate,
     embeddings,
     language_model,
