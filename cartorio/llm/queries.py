@@ -7,6 +7,7 @@ from cartorio.llm import (  # noqa: F401  (they register)
     language_model,
     licenses,
     mixing,
+    negatives,
     pii,
     sentences,
     simhash,
