@@ -5,6 +5,7 @@ from cartorio.llm import (  # noqa: F401  (they register)
     decontaminate,
     embeddings,
     language_model,
+    languages,
     licenses,
     mixing,
     negatives,
