@@ -76,5 +76,7 @@ def components(edges: DataFrame, scratch: Scratch, rounds: int = 60) -> DataFram
         before = now
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
-    return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
+    out = e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+    out._scratch = e._scratch
+    return out

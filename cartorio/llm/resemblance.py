@@ -5,21 +5,18 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartorio.llm.common import Scratch, components
 
 #: Texts whose shingles are counted to know frequent ones, and how many of these are kept at the most.
 SAMPLE, FREQUENT = 10_000, 100_000
-#: Bits of the map of wanted texts, as 64-bit words.
-MAP_WORDS = 1 << 16
+#: Groups that the partners of one text are dealt to when they are checked.
+DEALT = 64
 _SLACK = 1e-9
 _POST = "fp long, n int, gram long, pos int"
-_BITS = [f"b{i}" for i in range(8)]
-_HEAD = "fp long, n int, " + ", ".join(f"{c} long" for c in _BITS)
-#: Rounds of stars before all pairs are looked at.
-STARS = 2
+_PAIR = "a long, b long"
 
 
 def shingles(text: str | None, words: int) -> np.ndarray:
@@ -75,9 +72,13 @@ def _prefixes(words: int, similarity: float, frequent: np.ndarray):
             [c.split()[0] for c in _POST.split(", ")])
 
     def run(batches):
+        met = set()  # a task gives each text once, so copies do not fill the exchange
         for b in batches:
             rows, held = [], 0
             for fp, text in zip(*(c.to_pylist() for c in b.columns)):
+                if fp in met:
+                    continue
+                met.add(fp)
                 g = shingles(text, words)
                 n = len(g)
                 if not n:
@@ -97,114 +98,103 @@ def _prefixes(words: int, similarity: float, frequent: np.ndarray):
     return run
 
 
-def _marked(fps: DataFrame) -> np.ndarray:
-    """A map of the ids in ``fps(fp)``, of bounded size: it has a bit for every one of them, and for others."""
-    rows = fps.groupBy(F.shiftright("fp", 6).bitwiseAND(F.lit(MAP_WORDS - 1)).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(fp & 63 as int))")).alias("bits")).collect()
-    out = np.zeros(MAP_WORDS, np.int64)
-    for r in rows:
-        out[r["word"]] = r["bits"]
-    return out.view(np.uint64)
-
-
-def _wanted(marks: np.ndarray, fp: int) -> bool:
-    return bool(int(marks[fp >> 6 & MAP_WORDS - 1]) >> (fp & 63) & 1)
-
-
-def _sets(words: int, marks: np.ndarray):
-    def run(batches):
-        for b in batches:
-            for fp, text in zip(*(c.to_pylist() for c in b.columns)):
-                if _wanted(marks, fp):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([fp], pa.int64()), pa.array([shingles(text, words).tobytes()], pa.binary())],
-                        ["fp", "grams"])
-    return run
-
-
-def _heads(words: int, marks: np.ndarray):
+def _alike(words: int, similarity: float):
+    """Over groups of one text (``side`` 0, first) and its partners: those partners that are similar enough."""
     def run(batches):
+        key, own = None, None
         for b in batches:
-            rows = []
-            for fp, text in zip(*(c.to_pylist() for c in b.columns)):
-                if _wanted(marks, fp):
-                    g = shingles(text, words)
-                    odd = np.bincount((g & np.uint64(511)).astype(np.int64), minlength=512) & 1
-                    bits = np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
-                    rows.append((fp, len(g), *bits.tolist()))
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int32() if i == 1 else pa.int64()) for i, c in enumerate(zip(*rows))],
-                    [c.split()[0] for c in _HEAD.split(", ")])
+            out = []
+            for a, deal, side, fp, text in zip(*(c.to_pylist() for c in b.columns)):
+                if not side:
+                    key, own = (a, deal), shingles(text, words)
+                elif key == (a, deal):
+                    other = shingles(text, words)
+                    both = len(np.intersect1d(own, other, assume_unique=True))
+                    if both >= similarity * (len(own) + len(other) - both) - _SLACK:
+                        out.append((a, fp))
+            cols = list(zip(*out)) if out else [[], []]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["a", "b"])
     return run
 
 
-def _alike(similarity: float):
-    def run(batches):
-        for b in batches:
-            keep = []
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= similarity * (len(x) + len(y) - both) - _SLACK)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-    return run
-
+def verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float, scratch: Scratch) -> DataFrame:
+    """Those of the distinct ``pairs(a, b)`` whose sets of shingles are similar enough, by the sets themselves.
 
-def _verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float, scratch: Scratch) -> DataFrame:
-    """Those of ``pairs(a, b)`` whose sets of shingles are similar enough, by the sets themselves."""
+    The text of ``a`` goes once to each of the at most ``DEALT`` groups its partners are dealt to, that of ``b`` once
+    a pair; a group is read as a stream. ``texts(fp, text)`` are brought down to the ends of pairs first, a row each.
+    """
+    deal = F.pmod(F.xxhash64("b"), F.lit(DEALT)).cast("int").alias("deal")
+    members = pairs.select("a", deal, F.lit(1).alias("side"), F.col("b").alias("fp"))
+    sides = members.unionByName(members.select(
+        "a", "deal", F.lit(0).alias("side"), F.col("a").alias("fp")).distinct())
     ends = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
-    sets = texts.select("fp", "text").mapInArrow(_sets(words, _marked(ends)), "fp long, grams binary")
-    sets = scratch.store(sets.join(ends, "fp", "left_semi").groupBy("fp").agg(F.first("grams").alias("grams")))
-    x, y = sets.toDF("a", "x"), sets.toDF("b", "y")
-    held = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-    return scratch.store(held.mapInArrow(_alike(similarity), "a long, b long"))
-
-
-def links(texts: DataFrame, words: int, similarity: float, scratch: Scratch) -> DataFrame:
-    """Pairs ``(a, b)`` of ``texts(fp, text)``, rows of one ``fp`` being copies, that join all similar texts.
-
-    All pairs given are as similar as asked, and any two texts as similar as asked are linked by a chain of
-    them: no such pair is lost. Each text's shingles stand in one common order, frequent ones last. Similar
-    texts share one of the first ``n - least + 1``. First every text is held against one text of each such
-    shingle, the one with most shared shingles, then others by chance: so a large group of near copies becomes
-    one component by stars. Then all pairs that share a shingle and are not in one component yet, as far as
-    sizes, places in the order and the odd counts of 512 classes of shingles (which differ in no more classes
-    than the sets in shingles) allow them.
+    held = scratch.store(texts.select("fp", "text").join(ends, "fp", "left_semi").groupBy("fp").agg(
+        F.min("text").alias("text")))
+    rows = sides.join(held, "fp").select("a", "deal", "side", "fp", "text").repartition("a", "deal")
+    out = scratch.store(rows.sortWithinPartitions("a", "deal", "side").mapInArrow(_alike(words, similarity), _PAIR))
+    scratch.drop(held)
+    return out
+
+
+def links(texts: DataFrame, words: int, similarity: float, scratch: Scratch, first: DataFrame | None = None):
+    """Pairs ``(a, b)`` and their components ``(node, root)``, None where there is no pair, of ``texts(fp, text)``.
+
+    Rows of one ``fp`` are copies. All pairs given are as similar as asked, and any two texts as similar as asked are linked by a chain of
+    them: no such pair is lost. ``first(a, b)`` are pairs to look at first. Each text's shingles stand in one common
+    order, frequent ones last; similar texts share one of the first ``n - least + 1``. In one exchange by shingle
+    those that one text alone has are dropped. Every text is held against one text of each of its shingles, the
+    smallest, then the largest, so a large group of near copies becomes one component by stars; shingles whose
+    texts are all in one component are dropped. Then all pairs that share a shingle and are in different
+    components are looked at, as far as sizes and places in the order allow them.
+
+    NULL texts and texts without words have no shingles and link with nothing; so does a NULL ``fp``. An empty
+    table gives no pairs. Other columns are ignored.
     """
-    frequent = _frequent(texts, words)
-    post = scratch.store(texts.select("fp", "text").mapInArrow(_prefixes(words, similarity, frequent), _POST))
-    grams = post.groupBy("gram").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low < high")
-    shared = scratch.store(post.join(grams.select("gram"), "gram").dropDuplicates(["fp", "gram"]))
-    scratch.drop(post)
-    heads = texts.select("fp", "text").mapInArrow(_heads(words, _marked(shared.select("fp"))), _HEAD)
-    heads = scratch.store(heads.dropDuplicates(["fp"]))
-    differ = sum((F.bit_count(F.col(f"p.{c}").bitwiseXOR(F.col(f"q.{c}"))) for c in _BITS), F.lit(0))
+    texts = texts.select("fp", "text").where("fp is not null")
+    post = texts.mapInArrow(_prefixes(words, similarity, _frequent(texts, words)), _POST)
+    by_gram = Window.partitionBy("gram").orderBy("fp")
+    once = post.withColumn("last", F.lag("fp").over(by_gram)).where("last is null or last <> fp").drop("last")
+    shared = scratch.store(once.withColumn("before", F.lag("fp").over(by_gram)).withColumn(
+        "after", F.lead("fp").over(by_gram)).where("before is not null or after is not null").drop("before", "after"))
+    found = tried = roots = None
+    if first is not None:
+        tried = scratch.store(first.select("a", "b").where("a <> b").distinct())
+        found = verified(tried, texts, words, similarity, scratch)
+        roots = None if found.isEmpty() else components(found, scratch)
+    whole = Window.partitionBy("gram")
     total = F.col("p.n") + F.col("q.n")
-    # J >= s: common >= s / (1 + s) of both sizes together, the rest is where they differ
-    near = (differ <= total * ((1 - similarity) / (1 + similarity)) + _SLACK) & (
-        F.least("p.n", "q.n") >= F.greatest("p.n", "q.n") * similarity - _SLACK)
-    central = shared.groupBy("fp").agg(F.count("*").alias("k"))
-    shared = scratch.store(shared.join(heads.drop("n"), "fp").join(central, "fp"))
     common = F.least("p.pos", "q.pos") + F.least(F.col("p.n") - F.col("p.pos"), F.col("q.n") - F.col("q.pos"))
-    allowed = near & (F.col("p.root") != F.col("q.root")) & (common >= total * (similarity / (1 + similarity)) - _SLACK)
-    placed, tried, found = shared.withColumn("root", F.col("fp")), None, None
-    for n in range(STARS + 1):
-        if n < STARS:
-            # pairs of a shingle's hub and the others; the hub's columns are gathered whole
-            by = F.struct(F.col("k") if n == 0 else F.xxhash64("fp", F.lit(n)), "fp")
-            hubs = placed.groupBy("gram").agg(
-                F.max_by(F.struct("fp", "n", "pos", "root", *_BITS), by).alias("h")).select("gram", "h.*")
-            other = F.col("p.fp") != F.col("q.fp")
+    # J >= s: common >= s / (1 + s) of both sizes together
+    allowed = (F.col("p.root") != F.col("q.root")) & (common >= total * (similarity / (1 + similarity)) - _SLACK) & (
+        F.least("p.n", "q.n") >= F.greatest("p.n", "q.n") * similarity - _SLACK)
+    columns = ["gram", "fp", "n", "pos"]
+    for way in ("low", "high", "all"):
+        placed = shared.withColumn("root", F.col("fp"))
+        if roots is not None:
+            placed = shared.select(columns).join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+                *columns, F.coalesce("root", "fp").alias("root"))
+        open_ = placed.withColumn("r", F.min("root").over(whole)).withColumn("s", F.max("root").over(whole)).where("r < s")
+        open_ = scratch.store(open_.select(*columns, "root"))
+        scratch.drop(shared)
+        if way == "all":
+            pairs = open_.alias("p").join(open_.alias("q"), (F.col("p.gram") == F.col("q.gram")) & (
+                F.col("p.fp") < F.col("q.fp")) & allowed)
         else:
-            hubs, other = placed, F.col("p.fp") < F.col("q.fp")
-        pairs = hubs.alias("p").join(placed.alias("q"), (F.col("p.gram") == F.col("q.gram")) & other & allowed).select(
-            F.least("p.fp", "q.fp").alias("a"), F.greatest("p.fp", "q.fp").alias("b")).distinct()
-        # what was looked at before is known already
-        pairs = scratch.store(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
-        alike = _verified(pairs, texts, words, similarity, scratch)
-        tried, found = (pairs, alike) if n == 0 else (tried.unionByName(pairs), found.unionByName(alike))
-        if n < STARS:
-            roots = components(found, scratch).withColumnRenamed("node", "fp")
-            placed = scratch.store(shared.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
-    return found
+            order = Window.partitionBy("gram").orderBy("fp" if way == "low" else F.desc("fp"))
+            pairs = open_.select(F.struct("*").alias("q"), F.first(F.struct("*")).over(order).alias("p")).where(
+                F.col("p.fp") != F.col("q.fp")).where(allowed)
+        pairs = pairs.select(F.col("p.fp").alias("a"), F.col("q.fp").alias("b")).distinct()
+        if tried is not None:  # what was looked at before is known already
+            both = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            pairs = pairs.join(both, ["a", "b"], "left_anti")
+        pairs = scratch.store(pairs)
+        alike = verified(pairs, texts, words, similarity, scratch)
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        found = alike if found is None else found.unionByName(alike)
+        if not alike.isEmpty():  # else the components are what they were
+            if roots is not None:
+                scratch.drop(roots)
+            roots = components(found, scratch)
+        shared = open_
+    scratch.drop(shared)
+    return found, roots

@@ -49,10 +49,15 @@ def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
     return int(np.packbits(2 * sums > n, bitorder="little").view("<u8")[0])
 
 
-@F.pandas_udf(T.LongType())
-def simhash(texts: pd.Series) -> pd.Series:
-    """The fingerprints of whole texts, their 64 bits as longs."""
-    return pd.Series(np.array([fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64))
+def simhash_of(words: int):
+    """Column function: the fingerprints of whole texts by shingles of so many words, their 64 bits as longs."""
+    @F.pandas_udf(T.LongType())
+    def prints(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(t, words) for t in texts], dtype=np.uint64).view(np.int64))
+    return prints
+
+
+simhash = simhash_of(3)
 
 
 def links(prints: DataFrame, bits: int = BITS) -> DataFrame:
@@ -87,11 +92,28 @@ def links(prints: DataFrame, bits: int = BITS) -> DataFrame:
         & (earlier == 2)).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
 
 
-def _classes(prints: DataFrame, bits: int, scratch: Scratch, pairs: DataFrame | None = None) -> DataFrame:
-    """``(fp, class_fp)``: the smallest fingerprint that links, or given ``pairs``, reach from each distinct ``fp``."""
+def _classes(fps: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """``(fp, class_fp)`` of the distinct ``fps``: the ``root`` of their component, or themselves."""
+    if roots is None:
+        return fps.select("fp", F.col("fp").alias("class_fp"))
+    return fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("class_fp"))
+
+
+def _print_classes(prints: DataFrame, bits: int, scratch: Scratch) -> DataFrame:
+    """``(fp, class_fp)``: the smallest fingerprint that links reach from each distinct ``fp``."""
     fps = scratch.store(prints.select("fp").distinct())
-    roots = components(links(fps, bits) if pairs is None else pairs, scratch).withColumnRenamed("node", "fp")
-    return fps.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("class_fp"))
+    return _classes(fps, components(links(fps, bits), scratch))
+
+
+def _proposed(prints: DataFrame, bits: int, scratch: Scratch) -> DataFrame:
+    """``(a, b)``: each text of ``prints(fp, print)`` and the smallest one of its class of fingerprints."""
+    rows = scratch.store(prints.select("fp", "print").distinct())
+    classes = scratch.store(_print_classes(rows.select(F.col("print").alias("fp")), bits, scratch).select(
+        F.col("fp").alias("print"), "class_fp"))
+    placed = rows.join(classes, "print")
+    hubs = placed.groupBy("class_fp").agg(F.min("fp").alias("a"))
+    return placed.join(hubs, "class_fp").where("a <> fp").select("a", F.col("fp").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, bits: int = BITS) -> DataFrame:
@@ -104,7 +126,7 @@ def near_duplicates(docs: DataFrame, bits: int = BITS) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession, "simhash")
     prints = scratch.store(docs.select(F.col("doc_id").cast("long"), simhash("text").alias("fp")))
-    classes = scratch.store(_classes(prints, bits, scratch))
+    classes = scratch.store(_print_classes(prints, bits, scratch))
     low = prints.groupBy("fp").agg(F.min("doc_id").alias("low"))
     ids = low.join(classes, "fp").groupBy("class_fp").agg(F.min("low").alias("component_id"))
     named = scratch.store(classes.join(ids, "class_fp").select("fp", "class_fp", "component_id"))
@@ -118,22 +140,28 @@ def hex_of(fp: str):
 def keep_one(docs: DataFrame, bits: int = BITS, words: int | None = None, similarity: float = 0.8) -> DataFrame:
     """One row of each near-duplicate group: that of the smallest id, NULL ids last, then of the smallest text hash.
 
-    With ``words``, texts are near-duplicates where the Jaccard similarity of their shingles of so many words is
-    at least ``similarity``, and none is lost; else where their fingerprints differ in ``bits`` or fewer.
-    All columns of ``docs`` stay as they are, whatever their names. Repeated rows count as one.
+    Without ``words``, texts are near-duplicates where their fingerprints differ in ``bits`` or fewer. With ``words``
+    they are where the Jaccard similarity of their shingles of so many words is at least ``similarity``:
+    fingerprints of such shingles propose pairs, which their shingles decide, and a join by shingles finds all pairs
+    that fingerprints pass over, so none is lost.
+
+    NULL and empty texts and texts without words are copies of each other. All columns of ``docs`` stay as they
+    are, whatever their names. Rows of one id and text count as one, the first by all its columns. An empty table
+    gives none. Very long texts are worked on whole.
     """
     scratch = Scratch(docs.sparkSession, "simhash")
     key = [F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_text")]
     if words:
         # texts without words are copies of each other
         fp = F.when(F.coalesce("text", F.lit("")).rlike(r"[^ \t\n\x0b\f\r]"), F.xxhash64("text")).otherwise(F.lit(0))
-        texts = docs.select(fp.cast("long").alias("fp"), "text")
-        prints = scratch.store(docs.select(*key, fp.cast("long").alias("fp")))
-        pairs = resemblance.links(texts, words, similarity, scratch)
+        fp = fp.cast("long").alias("fp")
+        prints = scratch.store(docs.select(*key, fp, simhash_of(words)("text").alias("print")))
+        _, roots = resemblance.links(
+            docs.select(fp, "text"), words, similarity, scratch, _proposed(prints, bits, scratch))
+        classes = scratch.store(_classes(prints.select("fp").distinct(), roots))
     else:
         prints = scratch.store(docs.select(*key, simhash("text").alias("fp")))
-        pairs = None
-    classes = scratch.store(_classes(prints, bits, scratch, pairs))
+        classes = scratch.store(_print_classes(prints, bits, scratch))
     rows = prints.groupBy("_id", "_text", "fp").agg(F.count("*").alias("n")).join(classes, "fp")
     first = rows.groupBy("class_fp").agg(
         F.min(F.struct(F.isnull("_id").alias("none"), "_id", "_text", "n")).alias("c"))
@@ -141,7 +169,8 @@ def keep_one(docs: DataFrame, bits: int = BITS, words: int | None = None, simila
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *key).alias("d").join(
         chosen.alias("c"), F.col("d._id").eqNullSafe(F.col("c._id")) & (F.col("d._text") == F.col("c._text")))
     # only rows that occur more than once need to be brought together
-    many = held.where("n > 1").select("row", "d._id", "d._text").dropDuplicates(["_id", "_text"])
+    many = held.where("n > 1").select("row", F.col("d._id").alias("_id"), F.col("d._text").alias("_text")).groupBy(
+        "_id", "_text").agg(F.min_by("row", F.to_json("row")).alias("row"))
     return held.where("n = 1").select("row.*").unionByName(many.select("row.*"))
 
 

@@ -150,6 +150,18 @@ def test_keep_one_by_shingles_loses_no_pair(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root.values()))
 
 
+def test_keep_one_by_shingles_on_odd_rows(spark):
+    """NULL ids, repeated rows, other columns that differ, texts of megabytes, columns named as the job's own."""
+    long = " ".join(f"w{i % 977}x{i % 1013}" for i in range(150_000))
+    rows = [(None, "same words here", 1, "b"), (None, "same words here", 1, "a"), (7, "same words here", 2, "b"),
+            (7, "same words here", 2, "a"), (3, None, 0, ""), (4, "", 0, ""), (5, long, 0, ""), (6, long + " more", 0, ""),
+            (None, "alone " * 7, 0, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, fp long, row string").repartition(3)
+    kept = simhash.keep_one(df, words=5)
+    assert kept.columns == df.columns
+    assert sorted(((r.doc_id, r.row) for r in kept.collect()), key=repr) == [(3, ""), (5, ""), (7, "a"), (None, "")]
+
+
 def test_sentence_runs(spark, docs, made):
     rng = random.Random(8)
     passage = prose(rng, 60)
@@ -576,8 +588,9 @@ def test_clashing_names_and_nulls(spark):
         df = df.withColumn(name, F.lit("x"))
     bench = spark.createDataFrame([(None, None), (1, None), (None, "a plain")], "item_id long, text string")
     labels = spark.createDataFrame([(None, None, None), (1, 0, None), (2, 1, 1)], "doc_id long, quality int, toxic int")
-    one = simhash.keep_one(df)
-    assert one.columns == df.columns and sorted(r.doc_id for r in one.collect()) == [1, 2]
+    for how in ({}, {"words": 5}):
+        one = simhash.keep_one(df, **how)
+        assert one.columns == df.columns and sorted(r.doc_id for r in one.collect()) == [1, 2]
     assert decontaminate.clean(df, bench).count() == 3 and decontaminate.clean(df, bench).columns == df.columns
     assert pii.mask(df).columns == df.columns and pii.mask(df).count() == 4
     assert toxicity.reject_toxic(df, labels, threshold=1.1).count() == 4
@@ -592,7 +605,7 @@ def test_clashing_names_and_nulls(spark):
 def test_empty_tables(spark, docs):
     none = docs.limit(0)
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
-    for out in (simhash.near_duplicates(none), simhash.keep_one(none), sentences.remove_repeats(none), pii.find(none),
+    for out in (simhash.near_duplicates(none), simhash.keep_one(none), simhash.keep_one(none, words=5), sentences.remove_repeats(none), pii.find(none),
                 pii.mask(none), licenses.scan(none), none.select(tokens.counter([("a", -1.0)])("text")),
                 toxicity.reject_toxic(none, labels), mixing.mix(none, rounds=1)):
         assert out.count() == 0
