@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartorio.llm.common import query, table
+from cartorio.llm.common import Scratch, query, table
 
 SIZES = (3, 4, 5)
 BUCKETS = 1 << 18
@@ -97,15 +97,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000, features: int
 
     The fit uses at most ``sample`` labelled rows, those with the smallest hash of their id, and the ``features``
     buckets with the strongest log-count ratios for their support. Labels other than 0 and 1 and labels without
-    a document are left out. With one class only, the score of every text is that of the class share.
+    a document are left out, repeated rows count once. With one class only, the score of every text is that of the class share.
     """
     spark = docs.sparkSession
     chosen = (labels.select(F.col("doc_id").alias("_of"), F.col("toxic").cast("int").alias("_label"))
               .where("_label in (0, 1) and _of is not null")
               .orderBy(F.xxhash64(F.col("_of").cast("string")), "_label").limit(sample))
-    # at most `sample` rows of two numbers
-    train = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_of")) \
-        .select("text", "_label")
+    # at most `sample` rows of two numbers; of rows with one id and label the smallest text is taken
+    train = Scratch(spark, "toxicity").store(
+        docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_of")).groupBy(
+            "_of", "_label").agg(F.min("text").alias("text")).select("text", "_label"))
     parts = spark.sparkContext.defaultParallelism
     counted = train.coalesce(max(1, min(16, parts))).mapInArrow(_count, "label long, n long, seen binary").collect()
     seen, n = np.zeros((2, BUCKETS)), np.zeros(2)
@@ -149,7 +150,11 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **how) -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``, all columns as they are."""
+    """The rows of ``docs`` that score below ``threshold``, all columns as they are.
+
+    NULL and empty texts score as the intercept alone, rows of one text alike, so repeated rows stay or go together.
+    Where no label has a document, every text has the score of an even share. An empty table stays empty.
+    """
     model = fit(docs, labels.where(~held_out()), **how)
     return docs.where(scorer(model)(F.col("text")) < threshold)
 
