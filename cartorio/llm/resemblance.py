@@ -17,6 +17,7 @@ DEALT = 64
 _SLACK = 1e-9
 _POST = "fp long, n int, gram long, pos int"
 _PAIR = "a long, b long"
+_SKETCH = "fp long, n int, odd binary"
 
 
 def shingles(text: str | None, words: int) -> np.ndarray:
@@ -98,6 +99,57 @@ def _prefixes(words: int, similarity: float, frequent: np.ndarray):
     return run
 
 
+def sketch(grams: np.ndarray) -> bytes:
+    """Whether the shingles of each class of hashes are odd in number: at least a class, and 512, for each shingle."""
+    width = max(512, 1 << max(len(grams) - 1, 0).bit_length())
+    odd = np.bincount((grams & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def apart(x: bytes, y: bytes) -> int:
+    """Shingles in which two sets differ, at the least; a longer sketch is folded to the length of the other."""
+    x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+    if len(x) < len(y):
+        x, y = y, x
+    while len(x) > len(y):
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _sketches(words: int):
+    def run(batches):
+        met = set()
+        for b in batches:
+            rows = []
+            for fp, text in zip(*(c.to_pylist() for c in b.columns)):
+                if fp not in met:
+                    met.add(fp)
+                    g = shingles(text, words)
+                    if len(g):
+                        rows.append((fp, len(g), sketch(g)))
+            cols = list(zip(*rows)) if rows else [[], [], []]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary())],
+                ["fp", "n", "odd"])
+    return run
+
+
+def _close(similarity: float):
+    def run(batches):
+        for b in batches:
+            most = (1 - similarity) / (1 + similarity)  # of both sizes together
+            keep = [apart(x, y) <= most * (n + m) + _SLACK and min(n, m) >= similarity * max(n, m) - _SLACK
+                    for _, _, n, m, x, y in zip(*(c.to_pylist() for c in b.columns))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    return run
+
+
+def _possible(pairs: DataFrame, sketches: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """Those of ``pairs(a, b)`` whose sketches do not rule out that they are similar enough."""
+    rows = pairs.join(sketches.toDF("a", "n", "x"), "a").join(sketches.toDF("b", "m", "y"), "b")
+    return scratch.store(rows.select("a", "b", "n", "m", "x", "y").mapInArrow(_close(similarity), _PAIR))
+
+
 def _alike(words: int, similarity: float):
     """Over groups of one text (``side`` 0, first) and its partners: those partners that are similar enough."""
     def run(batches):
@@ -142,11 +194,14 @@ def links(texts: DataFrame, words: int, similarity: float, scratch: Scratch, fir
     Rows of one ``fp`` are copies. All pairs given are as similar as asked, and any two texts as similar as asked are linked by a chain of
     them: no such pair is lost. ``first(a, b)`` are pairs to look at first. Each text's shingles stand in one common
     order, frequent ones last; similar texts share one of the first ``n - least + 1``. In one exchange by shingle
-    those that one text alone has are dropped. Every text is held against one text of each of its shingles, the
-    smallest, then the largest, so a large group of near copies becomes one component by stars; shingles whose
-    texts are all in one component are dropped. Then all pairs that share a shingle and are in different
+    those that one text alone has are dropped. Every text is held against one text of each of its shingles, first the
+    smallest, then one by chance, another for each shingle, so a large group of near copies becomes one component
+    by stars; shingles whose texts are all in one component are dropped. Then all pairs that share a shingle and are in different
     components are looked at, as far as sizes and places in the order allow them.
 
+    Before texts are compared, sketches of about a bit for each shingle rule out most pairs that are not similar:
+    sets differ in at least as many shingles as their counts by class differ in parity.
+
     NULL texts and texts without words have no shingles and link with nothing; so does a NULL ``fp``. An empty
     table gives no pairs. Other columns are ignored.
     """
@@ -156,10 +211,12 @@ def links(texts: DataFrame, words: int, similarity: float, scratch: Scratch, fir
     once = post.withColumn("last", F.lag("fp").over(by_gram)).where("last is null or last <> fp").drop("last")
     shared = scratch.store(once.withColumn("before", F.lag("fp").over(by_gram)).withColumn(
         "after", F.lead("fp").over(by_gram)).where("before is not null or after is not null").drop("before", "after"))
+    sketches = scratch.store(texts.mapInArrow(_sketches(words), _SKETCH).groupBy("fp").agg(
+        F.first("n").alias("n"), F.first("odd").alias("odd")))
     found = tried = roots = None
     if first is not None:
         tried = scratch.store(first.select("a", "b").where("a <> b").distinct())
-        found = verified(tried, texts, words, similarity, scratch)
+        found = verified(_possible(tried, sketches, similarity, scratch), texts, words, similarity, scratch)
         roots = None if found.isEmpty() else components(found, scratch)
     whole = Window.partitionBy("gram")
     total = F.col("p.n") + F.col("q.n")
@@ -168,7 +225,7 @@ def links(texts: DataFrame, words: int, similarity: float, scratch: Scratch, fir
     allowed = (F.col("p.root") != F.col("q.root")) & (common >= total * (similarity / (1 + similarity)) - _SLACK) & (
         F.least("p.n", "q.n") >= F.greatest("p.n", "q.n") * similarity - _SLACK)
     columns = ["gram", "fp", "n", "pos"]
-    for way in ("low", "high", "all"):
+    for way in ("low", "mixed", "all"):
         placed = shared.withColumn("root", F.col("fp"))
         if roots is not None:
             placed = shared.select(columns).join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
@@ -180,7 +237,7 @@ def links(texts: DataFrame, words: int, similarity: float, scratch: Scratch, fir
             pairs = open_.alias("p").join(open_.alias("q"), (F.col("p.gram") == F.col("q.gram")) & (
                 F.col("p.fp") < F.col("q.fp")) & allowed)
         else:
-            order = Window.partitionBy("gram").orderBy("fp" if way == "low" else F.desc("fp"))
+            order = Window.partitionBy("gram").orderBy(*(["fp"] if way == "low" else [F.xxhash64("fp", "gram"), "fp"]))
             pairs = open_.select(F.struct("*").alias("q"), F.first(F.struct("*")).over(order).alias("p")).where(
                 F.col("p.fp") != F.col("q.fp")).where(allowed)
         pairs = pairs.select(F.col("p.fp").alias("a"), F.col("q.fp").alias("b")).distinct()
@@ -188,7 +245,7 @@ def links(texts: DataFrame, words: int, similarity: float, scratch: Scratch, fir
             both = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
             pairs = pairs.join(both, ["a", "b"], "left_anti")
         pairs = scratch.store(pairs)
-        alike = verified(pairs, texts, words, similarity, scratch)
+        alike = verified(_possible(pairs, sketches, similarity, scratch), texts, words, similarity, scratch)
         tried = pairs if tried is None else tried.unionByName(pairs)
         found = alike if found is None else found.unionByName(alike)
         if not alike.isEmpty():  # else the components are what they were

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartorio.llm import decontaminate, language_model, licenses, mixing, pii, sentences, simhash, tokens, toxicity
+from cartorio.llm import decontaminate, language_model, licenses, mixing, pii, resemblance, sentences, simhash, tokens, toxicity
 
 DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
                      T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
@@ -150,6 +150,18 @@ def test_keep_one_by_shingles_loses_no_pair(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root.values()))
 
 
+def test_sketches_never_pass_what_sets_differ_in():
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        x = np.unique(rng.integers(0, 1 << 63, rng.integers(1, 4000), dtype=np.uint64))
+        y = np.unique(np.r_[x[rng.random(len(x)) < rng.random()], rng.integers(0, 1 << 63, rng.integers(1, 900), dtype=np.uint64)])
+        differ = len(np.setxor1d(x, y))
+        assert resemblance.apart(resemblance.sketch(x), resemblance.sketch(y)) <= differ
+    x = np.unique(rng.integers(0, 1 << 63, 3000, dtype=np.uint64))
+    y = np.r_[x[:1800], np.unique(rng.integers(0, 1 << 63, 1200, dtype=np.uint64))]
+    assert resemblance.apart(resemblance.sketch(x), resemblance.sketch(y)) > 6000 * 0.2 / 1.8
+
+
 def test_keep_one_by_shingles_on_odd_rows(spark):
     """NULL ids, repeated rows, other columns that differ, texts of megabytes, columns named as the job's own."""
     long = " ".join(f"w{i % 977}x{i % 1013}" for i in range(150_000))
