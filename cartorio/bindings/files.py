@@ -19,8 +19,10 @@ from cartorio.functions import fixed
 from cartorio.functions.cells import null_tokens
 from cartorio.operators.cleaning import SEQ
 from cartorio.plans import exports, medallion, provenance, quality, silver
+from cartorio.plans import gold as plans_gold
 from cartorio.session import scratch_path
 from cartorio.sources import bronze, manifest, sinks
+from cartorio.sources.published import published
 from cartorio.sources.tables import table_at, table_counts
 from cartorio.streaming import ingest
 
@@ -421,7 +423,7 @@ RULINGS = ingest.Feed(
     "try_cast(process_id as bigint)", derive=silver.derive_decisions)
 
 
-# cases of even numbers land first, the others with all rulings later; each run rebuilds the star schema
+# cases of even numbers and their rulings land first, the others later; the second run adds to the star schema
 @register("crawl_gold", f"""
     WITH p AS (SELECT * FROM ({c.RAW['processes'].clean_sql(*c._JOBS['clean_processes'][2:])})),
          d AS (SELECT * FROM ({c.RAW['decisions'].clean_sql(*c._JOBS['clean_decisions'][2:])}))
@@ -439,12 +441,48 @@ def _(spark, d):
         for name, df in raw.items():
             land_csv(df.where(F.pmod(number, F.lit(2)) == run - 1), f"{landing}/{name}", [SEQ], "append")
         ingest.ingest_all(spark, [(f"{landing}/processos", cases), (f"{landing}/decisoes", RULINGS)], base, f"{base}/gold")
-        # counted before the next run replaces the tables
-        gold = table_counts({n: spark.read.parquet(f"{base}/gold/curated/{n}") for n in ("fact_processes", "fact_decisions")})
+        # counted before the next run adds to the tables
+        gold = table_counts({n: published(spark, f"{base}/gold", n) for n in ("fact_processes", "fact_decisions")})
         counts.append(spark.createDataFrame(gold.select(F.lit(run).alias("run"), "*").collect(), "run int, table_name string, n_rows bigint"))
     return counts[0].unionByName(counts[1])
 
 
+def _grown(spark, d: str, first: Column) -> str:
+    """A star schema grown in two runs: rows of ``first``, then all others; its folder."""
+    root = scratch_path(spark, "gold")
+    rows = {"processos": b.processes(spark, d, origin=True), "decisoes": b.decisions(spark, d)}
+    for part in (first, F.coalesce(~first, F.lit(True))):
+        plans_gold.grow_star_schema(spark, {n: df.where(part) for n, df in rows.items()}, root)
+    return root
+
+
+_FIRST_JUDGES = "('Min. 4', 'Min. 6', 'Min. 7')"
+
+
+@register("gold_increments", b.with_views(f"""
+    SELECT 'fact_processes' AS table_name, ano_distribuicao AS ano, COUNT(*) AS n_rows,
+           CAST(SUM(date_distribuicao_key) AS BIGINT) AS checked FROM fact_processes GROUP BY ano_distribuicao
+    UNION ALL SELECT 'fact_decisions', ano_decisao, COUNT(*), CAST(SUM(date_decisao_key) AS BIGINT) FROM fact_decisions GROUP BY ano_decisao
+    UNION ALL SELECT 'dim_subject', NULL, COUNT(DISTINCT assunto), CAST(COUNT(DISTINCT assunto) AS BIGINT) * (COUNT(DISTINCT assunto) + 1) // 2
+    FROM fact_processes""", "fact_processes", "fact_decisions"))
+def _(spark, d):
+    root = _grown(spark, d, F.col("relator").isin("Min. 4", "Min. 6", "Min. 7"))
+    facts = [published(spark, root, n).groupBy(F.col(y).alias("ano")).agg(
+        F.count("*").alias("n_rows"), F.sum(k).alias("checked")).select(F.lit(n).alias("table_name"), "ano", "n_rows", "checked")
+        for n, y, k in (("fact_processes", "ano_distribuicao", "date_distribuicao_key"), ("fact_decisions", "ano_decisao", "date_decisao_key"))]
+    subjects = published(spark, root, "dim_subject").agg(F.count("*").alias("n_rows"), F.sum("subject_key").alias("checked"))
+    return facts[0].unionByName(facts[1]).unionByName(subjects.select(
+        F.lit("dim_subject").alias("table_name"), F.lit(None).cast("int").alias("ano"), "n_rows", "checked"))
+
+
+# judges of the first run keep their keys, those of the second are numbered after them
+@register("stable_keys", b.with_views(f"""
+    SELECT relator, row_number() OVER (ORDER BY relator NOT IN {_FIRST_JUDGES}, relator) AS rapporteur_key, true AS ativo
+    FROM (SELECT relator FROM fact_processes UNION SELECT relator FROM fact_decisions) WHERE relator IS NOT NULL""", "fact_processes", "fact_decisions"))
+def _(spark, d):
+    return published(spark, _grown(spark, d, F.col("relator").isin("Min. 4", "Min. 6", "Min. 7")), "dim_rapporteur")
+
+
 # ---------------------------------------------------------------- the whole run
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,8 +11,8 @@ from pyspark.sql import functions as F
 from cartorio.functions import fixed
 from cartorio.functions.cells import date_key, trim_text
 from cartorio.operators.keys import dense_row_number
-from cartorio.sources.sinks import side_by_side, write_parquet_zstd
-from cartorio.sources.tables import register_views
+from cartorio.plans.silver import REQUIRED
+from cartorio.sources.published import publish, published, state
 
 
 def _calendar(days: DataFrame) -> DataFrame:
@@ -56,34 +57,45 @@ def region_of_state(state: Column) -> Column:
     return F.coalesce(F.try_element_at(table, state), F.lit(fixed.UNKNOWN_REGION))
 
 
+def process_types(processes: DataFrame) -> DataFrame:
+    return processes.select("classe_sigla", "classe_descricao").distinct()
+
+
 def dim_process_type(processes: DataFrame) -> DataFrame:
-    distinct = processes.select("classe_sigla", "classe_descricao").distinct()
-    return dense_row_number(distinct, ["classe_sigla", "classe_descricao"], "process_type_key")
+    return dense_row_number(process_types(processes), ["classe_sigla", "classe_descricao"], "process_type_key")
+
+
+def rapporteurs(*facts: DataFrame) -> DataFrame:
+    # distinct on each side first: the sides then meet as a few names
+    return reduce(DataFrame.unionAll, [f.select("relator").distinct() for f in facts]).dropna().distinct()
 
 
 def dim_rapporteur(processes: DataFrame, decisions: DataFrame) -> DataFrame:
-    # distinct on each side first: both sides then meet as a few names
-    names = processes.select("relator").distinct().unionAll(decisions.select("relator").distinct())
-    distinct = names.dropna().distinct()
-    return dense_row_number(distinct, ["relator"], "rapporteur_key").withColumn("ativo", F.lit(True))
+    return dense_row_number(rapporteurs(processes, decisions), ["relator"], "rapporteur_key").withColumn(
+        "ativo", F.lit(True))
 
 
-def dim_origin(processes: DataFrame, region: DataFrame | None = None) -> DataFrame:
+def origins(processes: DataFrame, region: DataFrame | None = None) -> DataFrame:
     """Distinct states with their region, from the fixed map or a (uf_origem, regiao) table."""
     states = processes.select("uf_origem").dropna().distinct()
     if region is None:
-        named = states.withColumn("regiao", region_of_state(F.col("uf_origem")))
-    else:
-        named = states.join(region, "uf_origem", "left").withColumn(
-            "regiao", F.coalesce("regiao", F.lit(fixed.UNKNOWN_REGION)))
-    return dense_row_number(named, ["uf_origem"], "origin_key")
+        return states.withColumn("regiao", region_of_state(F.col("uf_origem")))
+    return states.join(region, "uf_origem", "left").withColumn(
+        "regiao", F.coalesce("regiao", F.lit(fixed.UNKNOWN_REGION)))
 
 
-def dim_subject(processes: DataFrame) -> DataFrame:
+def dim_origin(processes: DataFrame, region: DataFrame | None = None) -> DataFrame:
+    return dense_row_number(origins(processes, region), ["uf_origem"], "origin_key")
+
+
+def subjects(processes: DataFrame) -> DataFrame:
     """Distinct subjects; the branch of law is the part before the first bar."""
-    subjects = processes.select("assunto").dropna().distinct()
     branch = trim_text(F.get(F.split("assunto", "[|]"), F.lit(0)))
-    return dense_row_number(subjects.withColumn("ramo_direito", branch), ["assunto"], "subject_key")
+    return processes.select("assunto").dropna().distinct().withColumn("ramo_direito", branch)
+
+
+def dim_subject(processes: DataFrame) -> DataFrame:
+    return dense_row_number(subjects(processes), ["assunto"], "subject_key")
 
 
 def with_date_keys(df: DataFrame, **keys: str) -> DataFrame:
@@ -147,19 +159,65 @@ YEAR_PARTITIONS = {"fact_processes": ["ano_distribuicao"], "fact_decisions": ["a
 
 def write_star_schema(
     spark: SparkSession, silver: dict[str, DataFrame], curated: str, by_year: bool = True,
+    marks: dict[str, int] | None = None,
 ) -> dict[str, DataFrame]:
-    """Write the curated tables and register each under its name.
+    """Write all curated tables, publish them together and register each under its name.
 
-    ``by_year`` partitions the two large facts by year, so that year filters skip files. Rows are
-    rebalanced by year first: few files per year, and a year with very many rows is split.
+    ``by_year`` partitions the two large facts by year, so that year filters skip files.
     """
-    tables, root = star_schema(spark, silver), curated.rstrip("/")
-
-    def write(name: str) -> DataFrame:
-        df, years = tables[name], YEAR_PARTITIONS.get(name) if by_year else None
-        path = write_parquet_zstd(df.hint("rebalance", *years) if years else df, f"{root}/{name}", years)
-        return spark.read.parquet(path).select(*df.columns)
+    return publish(spark, curated, star_schema(spark, silver), YEAR_PARTITIONS if by_year else None, marks=marks)
+
+
+#: Natural and surrogate key of each dimension, and how its members come from Silver rows.
+DIMENSIONS = {
+    "dim_process_type": (["classe_sigla", "classe_descricao"], "process_type_key",
+                         lambda rows: process_types(rows["processos"]) if "processos" in rows else None),
+    "dim_rapporteur": (["relator"], "rapporteur_key", lambda rows: rapporteurs(
+        *[rows[n] for n in ("processos", "decisoes") if n in rows]).withColumn("ativo", F.lit(True))
+        if {"processos", "decisoes"} & rows.keys() else None),
+    "dim_origin": (["uf_origem"], "origin_key",
+                   lambda rows: origins(rows["processos"]) if "processos" in rows else None),
+    "dim_subject": (["assunto"], "subject_key",
+                    lambda rows: subjects(rows["processos"]) if "processos" in rows else None),
+    "dim_personnel": (["matricula_hash"], "personnel_key",
+                      lambda rows: with_date_keys(rows["pessoal"], date_admissao_key="data_admissao")
+                      if "pessoal" in rows else None),
+}
+
+FACTS = {"fact_processes": ("processos", fact_processes), "fact_decisions": ("decisoes", fact_decisions),
+         "fact_appeals": ("recursos", fact_appeals), "fact_remuneration": ("remuneracao", fact_remuneration),
+         "fact_budget": ("orcamento", fact_budget)}
+
+
+def new_members(members: DataFrame, dimension: DataFrame | None, natural: list[str], key: str) -> DataFrame:
+    """Members that the dimension lacks, numbered in natural order after its largest key; NULL is a member like any."""
+    if dimension is None:
+        return dense_row_number(members, natural, key)
+    known = dimension.select(*[F.col(c).alias(f"_{c}") for c in natural])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in natural])
+    start = dimension.agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
+    fresh = dense_row_number(members.join(known, same, "left_anti"), natural, key)
+    return fresh.withColumn(key, F.col(key) + F.lit(start))
+
+
+def grow_star_schema(
+    spark: SparkSession, rows: dict[str, DataFrame], curated: str, marks: dict[str, int] | None = None,
+) -> dict[str, DataFrame]:
+    """Add the Silver ``rows`` that no earlier run brought; all tables as they are then.
 
-    written = side_by_side(write, list(tables))
-    register_views(written)
-    return written
+    Facts get new files in the years of these rows, and no file of theirs is read or written again. Dimensions
+    get their new members; keys given before stay. Rows must be new, as those of incremental batches are: keys that
+    came before were dropped there. The first run writes the whole star schema and needs cases and decisions;
+    until both are there nothing is published.
+    """
+    now = state(spark, curated)
+    if not now["tables"]:
+        if not all(name in rows for name in REQUIRED):
+            return {}
+        return write_star_schema(spark, rows, curated, marks=marks)
+    tables = {name: build(rows[source]) for name, (source, build) in FACTS.items() if source in rows}
+    for name, (natural, key, members_of) in DIMENSIONS.items():
+        members = members_of(rows)
+        if members is not None:
+            tables[name] = new_members(members, published(spark, curated, name, now), natural, key)
+    return publish(spark, curated, tables, YEAR_PARTITIONS, append=True, marks=marks)

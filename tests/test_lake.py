@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartorio.plans import exports, gold, kpis, listings, medallion, provenance, silver
-from cartorio.sources import manifest, sinks
+from cartorio.sources import manifest, published, sinks
 from cartorio.streaming import ingest
 
 CASE = {"numero_processo": "1", "classe_sigla": "hc", "classe_descricao": "Habeas Corpus", "assunto": "PENAL | X",
@@ -147,6 +147,93 @@ def test_bad_first_row_hides_later_batches(spark, tmp_path):
     assert sorted(r.process_id for r in ingest.silver_table(spark, base, "processos").collect()) == ["P-2", "P-3"]
 
 
+RULINGS = ingest.Feed("decisoes", silver.DECISIONS, "decision_id", ("decision_id", "data_decisao"), "data_decisao",
+                      "try_cast(process_id as bigint)", derive=silver.derive_decisions)
+CASES = ingest.Feed(FEED.dataset, FEED.kinds, FEED.key, FEED.required, FEED.date_column, FEED.sequence,
+                    derive=silver.derive_processes)
+
+
+def _ruling(i, **kw):
+    return {"decision_id": f"D-{i}", "process_id": f"P-{i}", **RULING, **kw}
+
+
+def _files(root):
+    return {str(p.relative_to(root)): (p.stat().st_mtime_ns, p.read_bytes()) for p in root.rglob("*.parquet")}
+
+
+def test_gold_grows_and_keys_stay(spark, tmp_path):
+    landing, base, gold_at = tmp_path / "landing", str(tmp_path / "lake"), tmp_path / "gold"
+    feeds = [(str(landing / "p"), CASES), (str(landing / "d"), RULINGS)]
+    _write(landing / "p" / "1.csv", [_case(i, data_distribuicao=f"202{i % 2}-01-02", relator="Min. M") for i in range(4)])
+    ingest.ingest_all(spark, feeds[:1], base, str(gold_at))
+    assert published.state(spark, str(gold_at)) == {"tables": {}, "marks": {}}  # no decisions yet
+    _write(landing / "d" / "1.csv", [_ruling(i, relator="Min. P") for i in range(3)])
+    ingest.ingest_all(spark, feeds, base, str(gold_at))
+    before, keys = _files(gold_at), {r.relator: r.rapporteur_key for r in published.published(spark, str(gold_at), "dim_rapporteur").collect()}
+    assert keys == {"Min. M": 1, "Min. P": 2}
+    held = published.published(spark, str(gold_at), "fact_processes")
+    _write(landing / "p" / "2.csv", [_case(i, data_distribuicao="2022-01-02", relator=r, assunto=None, extra="e")
+                                     for i, r in ((1, "Min. Z"), (8, "Min. A"), (9, "Min. B"))],
+           ["process_id", "extra", *CASE])
+    ingest.ingest_all(spark, feeds, base, str(gold_at))
+    after = _files(gold_at)
+    assert before.items() <= after.items()  # no file of earlier years has changed
+    fresh = [f for f in after if f not in before and f.startswith("fact_")]
+    assert fresh and all("fact_processes" in f and "ano_distribuicao=2022" in f for f in fresh)
+    grown = published.published(spark, str(gold_at), "dim_rapporteur").collect()
+    assert {r.relator: r.rapporteur_key for r in grown} == {**keys, "Min. A": 3, "Min. B": 4}
+    facts = published.published(spark, str(gold_at), "fact_processes")
+    assert {r.process_id: r.extra for r in facts.collect()} == {"P-0": None, "P-1": None, "P-2": None, "P-3": None, "P-8": "e", "P-9": "e"}
+    assert {r.ano_distribuicao: r["count"] for r in facts.groupBy("ano_distribuicao").count().collect()} == {2020: 2, 2021: 2, 2022: 2}
+    assert "ano_distribuicao" in facts.where("ano_distribuicao = 2022")._jdf.queryExecution().toString().split("PartitionFilters")[1][:80]
+    assert held.count() == 4  # a reader of the state before still has all of it
+    ingest.ingest_all(spark, feeds, base, str(gold_at))
+    assert _files(gold_at) == after  # nothing new, nothing written
+    silver_now = {n: ingest.silver_table(spark, base, n) for n in ("processos", "decisoes")}
+    whole = gold.star_schema(spark, silver_now)
+    for name, key in (("dim_subject", "subject_key"), ("dim_process_type", "process_type_key"), ("fact_decisions", "date_decisao_key")):
+        plain = lambda df: sorted(map(repr, df.drop(key).collect()))
+        assert plain(published.published(spark, str(gold_at), name)) == plain(whole[name].select(
+            *published.published(spark, str(gold_at), name).columns))
+
+
+def test_a_broken_run_is_made_up_for(spark, tmp_path, monkeypatch):
+    """Silver was written, Gold was not: the next run brings both batches."""
+    landing, base, at = tmp_path / "landing", str(tmp_path / "lake"), str(tmp_path / "gold")
+    feeds = [(str(landing / "p"), CASES), (str(landing / "d"), RULINGS)]
+    _write(landing / "d" / "1.csv", [_ruling(1)])
+    for i in (1, 2, 3):
+        _write(landing / "p" / f"{i}.csv", [_case(i)])
+        if i == 2:
+            monkeypatch.setattr(published, "_point", lambda *a: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                ingest.ingest_all(spark, feeds, base, at)
+            monkeypatch.undo()
+            assert published.published(spark, at, "fact_processes").count() == 1
+        else:
+            ingest.ingest_all(spark, feeds, base, at)
+    assert sorted(r.process_id for r in published.published(spark, at, "fact_processes").collect()) == ["P-1", "P-2", "P-3"]
+
+
+def test_a_write_killed_halfway_leaves_the_old_tables(spark, tmp_path):
+    root = str(tmp_path / "gold")
+    published.publish(spark, root, {"a": spark.range(5), "b": spark.range(3).withColumnRenamed("id", "n")})
+    bad = spark.range(0, 40, 1, 4).select(F.when(F.col("id") < 39, F.col("id")).otherwise(F.raise_error(F.lit("killed"))).alias("n"))
+    with pytest.raises(Exception, match="killed"):
+        published.publish(spark, root, {"a": spark.range(9), "b": bad})
+    assert (spark.table("a").count(), spark.table("b").count()) == (5, 3)
+    again = published.register_published(spark, root)
+    assert (again["a"].count(), again["b"].count()) == (5, 3)
+    assert len(published.expire(spark, root)) == 2  # what the killed run left
+    published.publish(spark, root, {"b": spark.range(7).withColumnRenamed("id", "n")}, append=True)
+    published.publish(spark, root, {"a": spark.range(0)})
+    assert (spark.table("a").count(), spark.table("b").count()) == (0, 10)
+    gone = published.expire(spark, root, keep=1)
+    assert [g.split("/")[0] for g in gone] == ["a"]
+    now = published.register_published(spark, root)
+    assert (now["a"].count(), now["b"].count(), now["b"].columns) == (0, 10, ["n"])
+
+
 # ---------------------------------------------------------------- provenance
 
 
