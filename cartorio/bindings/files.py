@@ -24,7 +24,7 @@ from cartorio.session import scratch_path
 from cartorio.sources import bronze, manifest, sinks
 from cartorio.sources.published import published
 from cartorio.sources.tables import table_at, table_counts
-from cartorio.streaming import ingest
+from cartorio.streaming import dedup, ingest
 
 # rows of a landing file of event lines
 PER_FILE = 500
@@ -389,6 +389,29 @@ def _(spark, d):
     return ingest.silver_table(spark, base, "recursos").select("recurso_id", "tipo_recurso", "data_interposicao")
 
 
+# Every tenth event comes twice in its own ten days, others again in the next ten; some come only at the end, most
+# of them older than two days before all that came on time: those are set aside.
+@register("streaming_dedup_watermark", """
+    WITH mark AS (SELECT MAX(ts) - INTERVAL 2 DAY AS w FROM events WHERE event_id % 15 <> 7)
+    SELECT event_id, ts, CASE WHEN event_id % 15 = 7 AND ts <= w THEN 'late' ELSE 'kept' END AS place FROM events, mark""")
+def _(spark, d):
+    staged, base = scratch_path(spark, "staged"), scratch_path(spark, "watermark")
+    events = b.table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    start = events.agg(F.min("ts").cast("date").alias("d0"))
+    part = F.floor(F.datediff(F.col("ts").cast("date"), F.col("d0")) / 10).cast("int")
+    last = F.col("event_id") % 15 == 7
+    again = F.when(last, F.array(F.lit(0))).when(F.col("event_id") % 10 == 0, F.array(F.lit(0), F.lit(0))).when(
+        F.col("event_id") % 10 == 5, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    rows = events.crossJoin(F.broadcast(start)).select(
+        "event_id", "ts", F.when(last, 1000).otherwise(part).alias("part"), F.explode(again).alias("later")).select(
+        "event_id", "ts", (F.col("part") + F.col("later")).alias("part"))
+    for n in sorted(r[0] for r in rows.select("part").distinct().collect()):
+        rows.where(F.col("part") == n).drop("part").write.mode("append").parquet(staged)
+        dedup.dedup_within_watermark(spark, staged, base, events.schema, "event_id", "ts", "2 days")
+    kept = spark.read.parquet(f"{base}/kept").withColumn("place", F.lit("kept"))
+    return kept.unionByName(dedup.late_rows(spark, base, events.schema).withColumn("place", F.lit("late")))
+
+
 @register("incremental_filter", f"""
     WITH mark AS (SELECT MAX(CAST(ts AS DATE)) AS last_date, MAX(event_id) AS max_id FROM events WHERE ts < '{_MIDDLE}')
     SELECT event_id, event_type, CAST(ts AS DATE) AS day FROM events, mark WHERE CAST(ts AS DATE) > last_date OR event_id > max_id""")

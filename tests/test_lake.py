@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cartorio.plans import exports, gold, kpis, listings, medallion, provenance, silver
 from cartorio.sources import manifest, published, sinks
-from cartorio.streaming import ingest
+from cartorio.streaming import dedup, ingest
 
 CASE = {"numero_processo": "1", "classe_sigla": "hc", "classe_descricao": "Habeas Corpus", "assunto": "PENAL | X",
         "relator": "Min. A", "data_autuacao": "2020-01-01", "data_distribuicao": "2020-01-02", "uf_origem": "sp",
@@ -138,6 +138,29 @@ def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     assert (state.batches_count, ingest.silver_table(spark, base, "processos").count()) == (1, 5)
 
 
+def test_a_batch_of_few_keys_reads_few_files_of_the_history(spark, tmp_path, monkeypatch):
+    landing, base = tmp_path / "landing", str(tmp_path / "lake")
+    _write(landing / "1.csv", [_case(i) for i in range(200)])
+    ingest.incremental_ingest(spark, str(landing), base, FEED)
+    folders = [p for p in (tmp_path / "lake" / "firsts" / "processos" / "batch_id=0").iterdir() if p.name.startswith("key_bucket=")]
+    assert len(folders) == FEED.buckets
+    read = []
+    real = ingest.not_yet_seen
+    monkeypatch.setattr(ingest, "not_yet_seen", lambda batch, seen, key: (read.append(
+        [r[0] for r in seen.select(F.input_file_name()).distinct().collect()]), real(batch, seen, key))[1])
+    _write(landing / "2.csv", [_case(7, relator="Min. Z"), _case(1000), _case(1001)])
+    ingest.incremental_ingest(spark, str(landing), base, FEED)
+    assert 1 <= len(read[0]) <= 3
+    monkeypatch.undo()
+    table = {r.process_id: r.relator for r in ingest.silver_table(spark, base, "processos").collect()}
+    assert len(table) == 202 and table["P-7"] == "Min. A"
+    _write(landing / "3.csv", [_case(7), _case(1000)])  # a batch without any new key
+    ingest.incremental_ingest(spark, str(landing), base, FEED)
+    _write(landing / "4.csv", [_case(1001), _case(2000), {**_case(0), "process_id": "NULL"}])
+    ingest.incremental_ingest(spark, str(landing), base, FEED)
+    assert ingest.silver_table(spark, base, "processos").count() == 203
+
+
 def test_bad_first_row_hides_later_batches(spark, tmp_path):
     landing, base = tmp_path / "landing", str(tmp_path / "lake")
     _write(landing / "1.csv", [_case(1, data_distribuicao="bad"), _case(2)])
@@ -234,6 +257,27 @@ def test_a_write_killed_halfway_leaves_the_old_tables(spark, tmp_path):
     assert (now["a"].count(), now["b"].count(), now["b"].columns) == (0, 10, ["n"])
 
 
+def test_dedup_within_a_watermark_sets_late_rows_aside(spark, tmp_path):
+    staged, base = str(tmp_path / "staged"), str(tmp_path / "out")
+    schema = spark.createDataFrame([], "k string, ts timestamp, n int").schema
+    runs = [
+        [("a", "2024-01-10 00:00:00", 1), ("a", "2024-01-10 06:00:00", 2), ("b", "2024-01-09 12:00:00", 3), (None, "2024-01-10 00:00:00", 4)],
+        [("b", "2024-01-10 01:00:00", 5), (None, "2024-01-10 02:00:00", 6), ("c", "2024-01-20 00:00:00", 7)],
+        # older than the watermark: a copy of what was kept, a key never kept (twice), one without a time
+        [("c", "2024-01-20 03:00:00", 8), ("a", "2024-01-10 12:00:00", 9), ("d", "2024-01-11 00:00:00", 10),
+         ("d", "2024-01-11 01:00:00", 11), ("a", "2024-01-21 00:00:00", 12)],
+        []]
+    for rows in runs:
+        if rows:
+            spark.createDataFrame([(k, ts, n) for k, ts, n in rows], "k string, ts string, n int").select(
+                "k", F.to_timestamp("ts").alias("ts"), "n").coalesce(1).write.mode("append").parquet(staged)
+        dedup.dedup_within_watermark(spark, staged, base, schema, "k", "ts", "2 days")
+    kept = [(r.k, r.ts.day) for r in spark.read.parquet(f"{base}/kept").collect()]
+    assert sorted(kept, key=repr) == sorted([("a", 10), ("a", 21), ("b", 9), ("c", 20), (None, 10)], key=repr)
+    assert sorted(r.n for r in dedup.late_rows(spark, base, schema).collect()) == [10, 11]
+    assert dedup.late_rows(spark, str(tmp_path / "none"), schema).count() == 0
+
+
 # ---------------------------------------------------------------- provenance
 
 
@@ -244,7 +288,19 @@ def test_file_hashes(spark, tmp_path):
         (tmp_path / "f" / name).write_bytes(body)
     got = {r.file_path[-5:]: (r.file_hash_sha256, r.file_size_bytes)
            for r in manifest.file_sha256(spark, str(tmp_path / "f")).collect()}
-    assert got == {n: (hashlib.sha256(b).hexdigest(), len(b)) for n, b in bodies.items()}
+    want = {n: (hashlib.sha256(b).hexdigest(), len(b)) for n, b in bodies.items()}
+    assert got == want
+    # files above the size of a cell are streamed: same hashes, and their content is in no cell
+    streamed = manifest.file_sha256(spark, str(tmp_path / "f"), cell=100, block=1000)
+    assert {r.file_path[-5:]: (r.file_hash_sha256, r.file_size_bytes) for r in streamed.collect()} == want
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000000")
+    try:
+        with pytest.raises(Exception, match="(?i)length|size"):
+            manifest.file_sha256(spark, str(tmp_path / "f"), cell=2_000_000).collect()
+        bounded = manifest.file_sha256(spark, str(tmp_path / "f"), cell=1_000_000).collect()
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    assert {r.file_path[-5:]: (r.file_hash_sha256, r.file_size_bytes) for r in bounded} == want
 
 
 def test_manifest_skips_bad_lines(spark, tmp_path):
