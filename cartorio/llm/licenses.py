@@ -15,23 +15,56 @@ from cartorio.llm.words import words_of
 # The phrases and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-# Notices as templates. <<optional>>...<<end>> may be left out, <<var:n>> stands for up to n words,
-# <<one:a|b>> for one of several wordings; all other words are mandatory.
+# Notices and whole licence texts as templates. <<optional>>...<<end>> may be left out, <<var:n>> stands
+# for up to n words, <<one:a|b>> for one of several wordings; all other words are mandatory.
+_GRANTED = "<<one:is licensed|is free software: you can redistribute it and/or modify it|licensed|released>> under the"
+_GPL = (_GRANTED + "<<optional>> terms of the<<end>><<optional>> GNU<<end>> General Public License"
+        "<<optional>> as published by the Free Software Foundation<<end>>")
+_BSD_OPENING = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met:<<optional>> 1.<<end>> Redistributions of source code must retain the above copyright "
+    "notice, this list of conditions and the following disclaimer.<<optional>> 2.<<end>> Redistributions in binary form "
+    "must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+    "documentation and/or other materials provided with the distribution.")
+_BSD_NAMES = (
+    "<<optional>> 3.<<end>> Neither the name of <<var:8>> nor the names of its contributors may be used to endorse or "
+    "promote products derived from this software without specific prior written permission.")
+_BSD_DISCLAIMER = (
+    " THIS SOFTWARE IS PROVIDED BY <<var:8>> AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, "
+    "THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL "
+    "<<var:8>> BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, "
+    "BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS "
+    "INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT "
+    "(INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE "
+    "POSSIBILITY OF SUCH DAMAGE.")
 TEMPLATES = {
-    "apache-2.0-notice": "Licensed under the Apache License<<optional>>, Version 2.0<<end>>"
-                         "<<optional>> (the License)<<end>>",
-    "bsd-terms": "Redistribution and use in source and binary forms, with or without modification, are permitted "
-                 "provided that the following conditions are met",
-    "gpl-notice": "<<one:is licensed|is free software: you can redistribute it and/or modify it|licensed|released>> "
-                  "under the<<optional>> terms of the<<end>><<optional>> GNU<<end>> General Public License"
-                  "<<optional>> as published by the Free Software Foundation<<end>>"
-                  "<<optional>>, <<one:version|either version>> <<var:2>><<end>>",
+    "apache-2.0-notice": "Licensed under the Apache License, Version 2.0<<optional>> (the License)<<end>>",
+    "apache-notice": "Licensed under the Apache License",
+    "bsd-2-clause": _BSD_OPENING + _BSD_DISCLAIMER,
+    "bsd-3-clause": _BSD_OPENING + _BSD_NAMES + _BSD_DISCLAIMER,
+    "gpl-2.0-notice": _GPL + "<<optional>>, either<<end>> version 2",
+    "gpl-3.0-notice": _GPL + "<<optional>>, either<<end>> version 3",
+    "gpl-notice": _GPL,
+    "isc": "Permission to use, copy, modify, and<<optional>>/or<<end>> distribute this software for any purpose with or "
+           "without fee is hereby granted, provided that the above copyright notice and this permission notice appear "
+           "in all copies. THE SOFTWARE IS PROVIDED AS IS AND <<var:6>> DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS "
+           "SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL <<var:6>> BE "
+           "LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM "
+           "LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING "
+           "OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
     "mit-notice": "<<one:licensed|released|distributed|available>> under the<<optional>> terms of the<<end>> "
                   "MIT License",
     "mit-terms": "Permission is hereby granted, free of charge, to any person obtaining a copy of <<var:6>> and "
-                 "associated documentation files<<optional>> (the Software)<<end>>, to deal in <<var:4>> without "
+                 "associated documentation files<<optional>> (the Software)<<end>>, to deal in the Software without "
                  "restriction, including without limitation the rights to use, copy, modify, merge, publish, "
-                 "distribute, sublicense, and/or sell copies",
+                 "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software "
+                 "is furnished to do so, subject to the following conditions: The above copyright notice and this "
+                 "permission notice<<optional>> (including the next paragraph)<<end>> shall be included in all copies or "
+                 "substantial portions of the Software. THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, "
+                 "EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A "
+                 "PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL <<var:6>> BE LIABLE FOR ANY CLAIM, DAMAGES OR "
+                 "OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN "
+                 "CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
 }
 
 _MARK = re.compile(r"<<(optional|end|var:\d+|one:[^>]*)>>")
@@ -199,25 +232,28 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, phrases: dict[s
         _scanner(Matcher(templates, phrases)), _SCAN)
 
 
-# what the templates accept, as patterns over words with single spaces
-_SQL_TEMPLATES = {
-    "apache-2.0-notice": "licensed under the apache license",
-    "bsd-terms": "redistribution and use in source and binary forms with or without modification are permitted "
-                 "provided that the following conditions are met",
-    "gpl-notice": "(is licensed|is free software you can redistribute it and or modify it|licensed|released) under the"
-                  "( terms of the)?( gnu)? general public license",
-    "mit-notice": "(licensed|released|distributed|available) under the( terms of the)? mit license",
-    "mit-terms": "permission is hereby granted free of charge to any person obtaining a copy of( [^ ]+){0,6} and "
-                 "associated documentation files( the software)? to deal in( [^ ]+){0,4} without restriction including "
-                 "without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies",
-}
+def pattern(template: str) -> str:
+    """A regular expression for the template over words with a space before each."""
+    spelt = lambda text: "".join(f" {w.decode()}" for w in words_of(text))
+    out, done = "", 0
+    for m in _MARK.finditer(template):
+        out, done, mark = out + spelt(template[done:m.start()]), m.end(), m[1]
+        if mark == "optional":
+            out += "(?:"
+        elif mark == "end":
+            out += ")?"
+        elif mark.startswith("var:"):
+            out += f"(?: [^ ]+){{0,{mark[4:]}}}"
+        else:
+            out += "(?:" + "|".join(spelt(w) for w in mark[4:].split("|")) + ")"
+    return out + spelt(template[done:]) + " "
 
 
 def oracle() -> str:
     at = " OR ".join(
         "(" + " AND ".join(f"w[i + {k}] = '{x}'" for k, x in enumerate(p.split(), 1)) + ")" for p in PHRASES)
     base = ", ".join(f"CASE WHEN contains(line, ' {p} ') THEN '{label}' END" for p, label in PHRASES.items())
-    full = ", ".join(f"CASE WHEN regexp_matches(line, ' {p} ') THEN '{label}' END" for label, p in _SQL_TEMPLATES.items())
+    full = ", ".join(f"CASE WHEN regexp_matches(line, '{pattern(t)}') THEN '{label}' END" for label, t in TEMPLATES.items())
     listed = "array_to_string(list_sort(list_distinct(list_filter([{}], lambda x: x IS NOT NULL))), ',')"
     return f"""
 WITH lower_case AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t

@@ -331,24 +331,65 @@ def test_license_phrases_equal_plain(spark, docs, made):
         (i, *plain(t)) for i, t in rows)
 
 
+def license_labels(text):
+    m = licenses.Matcher(licenses.TEMPLATES, licenses.PHRASES)
+    w = licenses.words_of(text)
+    return ",".join(sorted({x for _, x in m.phrase_places(w)} | {x for *_, x in m.template_places(w)}))
+
+
 @pytest.mark.parametrize("text,labels", [
-    ("Licensed under the Apache License, Version 2.0.", "apache,apache-2.0-notice"),
-    ("licensed under the apache license", "apache,apache-2.0-notice"),
+    ("Licensed under the Apache License, Version 2.0.", "apache,apache-2.0-notice,apache-notice"),
+    ("Licensed under the Apache License, Version 1.1.", "apache,apache-notice"),
+    ("licensed under the apache license", "apache,apache-notice"),
     ("under the apache license", "apache"),
-    ("This work is licensed under the GNU General Public License, version 3.", "gpl,gpl-notice"),
+    ("This work is licensed under the GNU General Public License, version 3.", "gpl,gpl-3.0-notice,gpl-notice"),
+    ("It is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+     "published by the Free Software Foundation, either version 2 of the License", "gpl,gpl-2.0-notice,gpl-notice"),
+    ("Released under the General Public License", "gpl,gpl-notice"),
     ("Released under the terms of the MIT License", "mit,mit-notice"),
     ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
      "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
-     "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies",
-     "mit-terms"),
-    ("Permission is hereby granted free of charge to any person obtaining a copy of one two three four five six seven "
-     "and associated documentation files to deal in it without restriction including without limitation the rights "
-     "to use copy modify merge publish distribute sublicense and or sell copies", ""),
+     "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies only on "
+     "Sundays", ""),
 ])
 def test_license_templates(text, labels):
-    m = licenses.Matcher(licenses.TEMPLATES, licenses.PHRASES)
-    w = licenses.words_of(text)
-    assert ",".join(sorted({x for _, x in m.phrase_places(w)} | {x for *_, x in m.template_places(w)})) == labels
+    assert license_labels(text) == labels
+
+
+def licence_text(template, filler="some party"):
+    """Words of a text that the template accepts, without its optional parts, and which of them it fixes."""
+    bare = re.sub("<<optional>>.*?<<end>>", "", template)
+    bare = re.sub(r"<<one:([^>]*)>>", lambda m: m[1].split("|")[-1], bare)
+    words, fixed = [], []
+    for part in re.split(r"<<(var:[0-9]+)>>", bare):
+        own = filler.split() if part.startswith("var:") else [w.decode() for w in licenses.words_of(part)]
+        words += own
+        fixed += [not part.startswith("var:")] * len(own)
+    return words, fixed
+
+
+@pytest.mark.parametrize("label", list(licenses.TEMPLATES))
+def test_each_mandatory_word_counts(label):
+    """A word changed, or left out, and the template is refused; optional parts and names may differ."""
+    template = licenses.TEMPLATES[label]
+    accepts = lambda words: label in license_labels("x " + " ".join(words) + " y").split(",")
+    sql = re.compile(licenses.pattern(template))
+    words, fixed = licence_text(template)
+    assert accepts(words) and sql.search(" " + " ".join(words) + " ")
+    full = [w.decode() for w in licenses.words_of(re.sub("<<(optional|end)>>", "", re.sub(
+        "<<one:([^>|]*)[^>]*>>", r"\1", re.sub("<<var:[0-9]+>>", "the author", template))))]
+    assert accepts(full)
+    for i, own in enumerate(fixed):
+        for other in (words[:i] + ["zzz"] + words[i + 1:], words[:i] + words[i + 1:]):
+            if own:
+                assert not accepts(other) and not sql.search(" " + " ".join(other) + " "), (i, words[i])
+            else:
+                assert accepts(other)
+
+
+def test_two_and_three_clauses_are_told_apart():
+    two, three = (" ".join(licence_text(licenses.TEMPLATES[f"bsd-{n}-clause"])[0]) for n in (2, 3))
+    assert license_labels(two) == "bsd-2-clause" and license_labels(three) == "bsd-3-clause"
 
 
 def test_template_markup():
