@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import random
 from datetime import date
 
 import pytest
@@ -10,7 +11,7 @@ from cartorio.functions import cells
 from cartorio.operators.cleaning import canonical_column_names, dedup_keep_first
 from cartorio.plans import silver
 from cartorio.plans.provenance import record_counts
-from cartorio.sources.bronze import profile_csv_files, scan_csv_bronze
+from cartorio.sources.bronze import profile_csv_files, scan_csv_bronze, scan_csv_files, scan_csv_split
 
 HEADER = ",".join(silver.PROCESSES)
 
@@ -148,3 +149,35 @@ def test_dedup_of_a_hot_key(spark):
 def test_canonical_names(spark):
     df = spark.createDataFrame([(1, 2)], "a int, b int").toDF(" Process ID ", "SITUACAO")
     assert canonical_column_names(df).columns == ["process_id", "situacao"]
+
+
+@pytest.mark.parametrize("ending,piece", [("\n", "400"), ("\r\n", "1500"), ("\r\n", "100000")])
+def test_files_with_line_breaks_in_cells_are_split(spark, tmp_path, piece, ending):
+    """Same cells, NULLs and order as the whole-file reader, whatever the size of a piece; a broken file is read whole."""
+    rng = random.Random(len(ending))
+    for f in range(2):
+        with open(tmp_path / f"{f}.csv", "w", newline="", encoding="utf-8") as out:
+            out.write("A b,c,d" + ending)
+            for i in range(150):
+                cell = rng.choice(["x", "", '""', '"q ""z"" é"', f'"one\ntwo,{i}\n\nthree"', '"' + f"line {i}\n" * rng.randint(1, 30) + '"', " s "])
+                out.write(f"{f}-{i},{cell},{rng.choice(['NA', 'ü', ''])}{ending}" + (ending if i % 40 == 7 else ""))
+    with open(tmp_path / "odd.csv", "w", newline="", encoding="utf-8") as out:
+        out.write("A b,c,d" + ending + f'7,5" pipe,x{ending}' * 21 + f'8,"a\nb",y{ending}')
+    paths, names = [str(tmp_path / n) for n in ("0.csv", "1.csv", "odd.csv")], ["A b", "c", "d"]
+    want = scan_csv_files(spark, paths, names, True).orderBy("_seq").drop("_seq").collect()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", piece)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        made = scan_csv_split(spark, paths, names)
+        got = made.orderBy("_seq").drop("_seq").collect()
+        tasks = made.where("a_b like '0-%'").select("_seq.block").distinct().count()
+        if piece == "1500":
+            assert scan_csv_bronze(spark, str(tmp_path)).count() == len(want)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(want) == 322 and made.columns == ["a_b", "c", "d", "_seq"]
+    assert [tuple(r) for r in got] == [tuple(r) for r in want]
+    assert tasks > {"400": 5, "1500": 2, "100000": 0}[piece]
+    with pytest.raises(ValueError):
+        scan_csv_split(spark, paths, ["a b", "d", "c"])
