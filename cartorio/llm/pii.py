@@ -28,6 +28,8 @@ CONTEXT = {
     "phone": "phone|call|tel|mobile|fax", "iban": "iban|account|bank|transfer",
 }
 RAISE, REACH = 0.2, 40
+#: Matches worked on between two appends to the whole result, and characters of a block that pieces are cut from.
+CHUNK, BLOCK = 256, 256
 
 
 def _mod97(iban: Column) -> Column:
@@ -51,6 +53,29 @@ def _valid(kind: str, v: Column) -> Column:
     }[kind]()
 
 
+def _let(value: Column, made) -> Column:
+    """``made(value)``, with ``value`` computed once however often it is used."""
+    return F.element_at(F.transform(F.array(value), made), 1)
+
+
+def _carried(items: Column, kind: str, step, finish, last=lambda acc: acc.out) -> Column:
+    """``items`` from first to last, with a place ``at`` carried along and a list ``out`` of ``kind`` grown by ``step``.
+
+    Appending copies a list, so it is done to the list of one chunk; ``finish`` makes one value of each chunk's list,
+    and these are what is appended to the whole. The time grows with the number of items, not with its square.
+    """
+    none = lambda of: F.array().cast(f"array<{of}>").alias("out")
+    whole = kind if finish is not None else f"array<{kind}>"
+    chunks = lambda a: F.transform(
+        F.sequence(F.lit(0), ((F.size(a) - 1) / CHUNK).cast("int")), lambda i: F.slice(a, i * CHUNK + 1, CHUNK))
+    one = finish or (lambda x: x)
+    merged = lambda acc, chunk: F.aggregate(
+        chunk, F.struct(acc.at.alias("at"), none(kind)), step,
+        lambda r: F.struct(r.at.alias("at"), F.array_append(acc.out, one(r.out)).alias("out")))
+    return _let(items, lambda a: F.aggregate(
+        chunks(a), F.struct(F.lit(0).alias("at"), none(whole)), merged, last))
+
+
 def _proposed(text: Column, kind: str) -> Column:
     """All matches of a kind as ``s, k, e, v, before``: the texts between matches give the places."""
     k, pattern = KINDS.index(kind), PATTERNS[kind]
@@ -66,8 +91,7 @@ def _proposed(text: Column, kind: str) -> Column:
                         F.right(x["gap"], F.lit(REACH)).alias("before"))
         return F.struct(e.alias("at"), F.array_append(acc.out, made).alias("out"))
 
-    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
-    spans = F.when(F.regexp_like(text, F.lit(pattern)), F.aggregate(pairs, start, step, lambda a: a.out))
+    spans = F.when(F.regexp_like(text, F.lit(pattern)), F.flatten(_carried(pairs, item, step, None)))
     if kind in _NEEDS:
         spans = F.when(F.contains(text, F.lit(_NEEDS[kind])), spans)
     return F.coalesce(spans, none)
@@ -104,19 +128,28 @@ def find(docs: DataFrame) -> DataFrame:
 
 
 def masked(text: Column, found: Column) -> Column:
-    """The text with every confirmed span replaced by its kind in brackets; overlapping spans become one."""
+    """The text with every confirmed span replaced by its kind in brackets; overlapping spans become one.
+
+    Finding a character of a text takes a walk from its start, so pieces are cut from blocks of ``BLOCK`` characters.
+    """
     name = F.array(*map(F.lit, KINDS))
 
-    def step(acc, x):
-        piece = F.concat(F.substr(text, acc.at + 1, x["s"] - acc.at),
-                         F.lit("["), F.upper(F.element_at(name, x["k"] + 1)), F.lit("]"))
-        put = F.when(x["s"] >= acc.at, F.array_append(acc.out, piece)).otherwise(acc.out)
-        return F.struct(F.greatest(acc.at, x["e"]).alias("at"), put.alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    done = F.aggregate(found, start, step, lambda a: F.concat(
-        F.array_join(a.out, ""), F.substr(text, a.at + 1, F.length(text))))
-    return F.when(F.size(found) > 0, done).otherwise(text)
+    def done(blocks):
+        def piece(start, end):
+            first = (start / BLOCK).cast("int")
+            held = F.slice(blocks, first + 1, ((end - 1) / BLOCK).cast("int") - first + 1)
+            return F.when(end > start, F.substr(F.array_join(held, ""), start - first * BLOCK + 1, end - start)).otherwise("")
+
+        def step(acc, x):
+            new = F.concat(piece(acc.at, x["s"]), F.lit("["), F.upper(F.element_at(name, x["k"] + 1)), F.lit("]"))
+            return F.struct(F.greatest(acc.at, x["e"]).alias("at"), F.when(
+                x["s"] >= acc.at, F.array_append(acc.out, new)).otherwise(acc.out).alias("out"))
+
+        return _carried(found, "string", step, lambda x: F.array_join(x, ""), lambda acc: F.concat(
+            F.array_join(acc.out, ""), piece(acc.at, F.length(text))))
+
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    return F.when(F.size(found) > 0, _let(blocks, done)).otherwise(text)
 
 
 def mask(docs: DataFrame) -> DataFrame:

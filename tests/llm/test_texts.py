@@ -313,6 +313,16 @@ def test_pii_mask(spark, docs, made):
     assert out.columns == docs.columns and out.count() == len(made)
 
 
+def test_pii_many_matches_in_one_text(spark):
+    n = 20_000
+    texts = ["🙂 ".join(f"a{i}@ex.org" for i in range(k)) for k in (n, pii.CHUNK - 1, pii.CHUNK, pii.CHUNK + 1)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.find(df).collect():
+        assert [(x.s, x.k, x.e) for x in r.found] == pii_plain(texts[r.doc_id])
+    for r in pii.mask(df).collect():
+        assert r.text == "🙂 ".join(["[EMAIL]"] * (texts[r.doc_id].count("@")))
+
+
 # --- licenses ------------------------------------------------------------------------------------------------------
 
 
