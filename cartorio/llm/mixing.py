@@ -46,21 +46,20 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], scratch: Scratch, roun
     """``cells`` with ``weight``: tokens raked until every dimension has its target shares.
 
     ``cells`` has one row per combination of levels, with ``tokens`` above 0. A round scales the weights of each
-    level of each dimension in turn, by a sum per level and a join. The table has a row per combination only; it is
-    written after every round, the scales after every step. Levels without a target get none of the weight.
+    level of each dimension in turn, by a sum per level and a join. The table has a row per combination only and is
+    written after every round. Levels without a target get none of the weight.
     """
     held = {d: scratch.store(t.select(F.col("level").alias(d), "share")) for d, t in targets.items()}
     out = scratch.store(cells.withColumn("weight", F.col("tokens").cast("double")))
     for _ in range(rounds):
-        before, scales = out, []
+        before = out
         for d in DIMS:
-            scales.append(scratch.store(out.groupBy(d).agg(F.sum("weight").alias("now")).join(held[d], d, "left").select(
+            scale = out.groupBy(d).agg(F.sum("weight").alias("now")).join(held[d], d, "left").select(
                 d, F.when(F.col("now") > 0, F.coalesce("share", F.lit(0.0)) / F.col("now")).otherwise(
-                    F.lit(0.0)).alias("scale"))))
-            out = out.join(scales[-1], d).withColumn("weight", F.col("weight") * F.col("scale")).drop("scale")
+                    F.lit(0.0)).alias("scale"))
+            out = out.join(scale, d).withColumn("weight", F.col("weight") * F.col("scale")).drop("scale")
         out = scratch.store(out)
-        for done in [before, *scales]:
-            scratch.drop(done)
+        scratch.drop(before)
     return out
 
 

@@ -14,6 +14,9 @@ from cartorio.llm.common import Scratch, components
 SAMPLE, FREQUENT = 10_000, 100_000
 #: Groups that the partners of one text are dealt to when they are checked.
 DEALT = 64
+#: Pairs of texts of different components that a shingle may give for each of its texts; where it gives more, its
+#: texts get a second prefix.
+CROWD = 8
 _SLACK = 1e-9
 _POST = "fp long, n int, gram long, pos int"
 _PAIR = "a long, b long"
@@ -188,6 +191,61 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float,
     return out
 
 
+def _every(words: int):
+    def run(batches):
+        for b in batches:
+            for fp, text in zip(*(c.to_pylist() for c in b.columns)):
+                g = shingles(text, words)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(g), fp, np.int64)), _longs(g)], ["fp", "gram"])
+    return run
+
+
+def _second(words: int, similarity: float):
+    """Prefixes of ``fp, root, text, held, counts`` in the order of ``counts`` of the ``held`` shingles, others first."""
+    def run(batches):
+        for b in batches:
+            for fp, root, text, held, counts in zip(*(c.to_pylist() for c in b.columns)):
+                g = shingles(text, words)
+                n, heavy = len(g), np.zeros(len(g), np.int64)
+                if held:
+                    heavy[np.searchsorted(g, np.array(held, np.int64).view(np.uint64))] = counts
+                size = n - int(least(n, similarity)) + 1
+                yield pa.RecordBatch.from_arrays(
+                    [_longs(g[np.lexsort((g, heavy))[:size]]), pa.array(np.full(size, fp, np.int64)),
+                     pa.array(np.full(size, n, np.int32)), pa.array(np.arange(size, dtype=np.int32)),
+                     pa.array(np.full(size, root, np.int64))], ["gram", "fp", "n", "pos", "root"])
+    return run
+
+
+def _joined(post: DataFrame, allowed) -> DataFrame:
+    return post.alias("p").join(post.alias("q"), (F.col("p.gram") == F.col("q.gram")) & (
+        F.col("p.fp") < F.col("q.fp")) & allowed).select(F.col("p.fp").alias("a"), F.col("q.fp").alias("b"))
+
+
+def _remaining(post: DataFrame, texts: DataFrame, words: int, similarity: float, allowed, scratch: Scratch) -> DataFrame:
+    """``(a, b)`` of ``post(gram, fp, n, pos, root)``: all pairs of different roots that can be similar enough.
+
+    A shingle with few such pairs for its texts gives them all. Texts of the others, crowded ones, are all texts that
+    have one, so their pairs lie among these texts: their whole sets are counted, and they get prefixes in another
+    common order, shingles that more than ``CROWD`` of them have last and the rarer of these first. A passage in many
+    texts that are otherwise different is then in no prefix, as far as a text has enough besides it.
+    """
+    by_root = post.groupBy("gram", "root").agg(F.count("*").alias("k"))
+    crowds = scratch.store(by_root.groupBy("gram").agg(
+        F.sum("k").alias("m"), F.sum(F.col("k") * F.col("k")).alias("same")).where(
+        f"m * m - same > {2 * CROWD} * m").select("gram"))
+    pairs = _joined(post.join(crowds, "gram", "left_anti"), allowed)
+    members = post.join(crowds, "gram", "left_semi").select("fp", "root").distinct()
+    own = scratch.store(texts.join(members, "fp").groupBy("fp", "root").agg(F.min("text").alias("text")))
+    every = own.select("fp", "text").mapInArrow(_every(words), "fp long, gram long")
+    heavy = scratch.store(every.groupBy("gram").agg(F.count("*").alias("m")).where(f"m > {CROWD}"))
+    held = every.join(heavy, "gram").groupBy("fp").agg(
+        F.collect_list(F.struct("gram", "m")).alias("h")).select("fp", F.col("h.gram").alias("held"), F.col("h.m").alias("counts"))
+    again = scratch.store(own.join(held, "fp", "left").select("fp", "root", "text", "held", "counts").mapInArrow(
+        _second(words, similarity), "gram long, fp long, n int, pos int, root long"))
+    return pairs.unionByName(_joined(again, allowed))
+
+
 def links(texts: DataFrame, words: int, similarity: float, scratch: Scratch, first: DataFrame | None = None):
     """Pairs ``(a, b)`` and their components ``(node, root)``, None where there is no pair, of ``texts(fp, text)``.
 
@@ -196,8 +254,9 @@ def links(texts: DataFrame, words: int, similarity: float, scratch: Scratch, fir
     order, frequent ones last; similar texts share one of the first ``n - least + 1``. In one exchange by shingle
     those that one text alone has are dropped. Every text is held against one text of each of its shingles, first the
     smallest, then one by chance, another for each shingle, so a large group of near copies becomes one component
-    by stars; shingles whose texts are all in one component are dropped. Then all pairs that share a shingle and are in different
-    components are looked at, as far as sizes and places in the order allow them.
+    by stars; shingles whose texts are all in one component are dropped. Then all pairs that share a shingle and are
+    in different components are looked at, as far as sizes and places in the order allow them; where a shingle would
+    give many such pairs, its texts are looked at by a second prefix (``_remaining``).
 
     Before texts are compared, sketches of about a bit for each shingle rule out most pairs that are not similar:
     sets differ in at least as many shingles as their counts by class differ in parity.
@@ -234,13 +293,12 @@ def links(texts: DataFrame, words: int, similarity: float, scratch: Scratch, fir
         open_ = scratch.store(open_.select(*columns, "root"))
         scratch.drop(shared)
         if way == "all":
-            pairs = open_.alias("p").join(open_.alias("q"), (F.col("p.gram") == F.col("q.gram")) & (
-                F.col("p.fp") < F.col("q.fp")) & allowed)
+            pairs = _remaining(open_, texts, words, similarity, allowed, scratch)
         else:
             order = Window.partitionBy("gram").orderBy(*(["fp"] if way == "low" else [F.xxhash64("fp", "gram"), "fp"]))
             pairs = open_.select(F.struct("*").alias("q"), F.first(F.struct("*")).over(order).alias("p")).where(
-                F.col("p.fp") != F.col("q.fp")).where(allowed)
-        pairs = pairs.select(F.col("p.fp").alias("a"), F.col("q.fp").alias("b")).distinct()
+                F.col("p.fp") != F.col("q.fp")).where(allowed).select(F.col("p.fp").alias("a"), F.col("q.fp").alias("b"))
+        pairs = pairs.distinct()
         if tried is not None:  # what was looked at before is known already
             both = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
             pairs = pairs.join(both, ["a", "b"], "left_anti")

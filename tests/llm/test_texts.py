@@ -15,6 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartorio.llm.common import Scratch
 from cartorio.llm import decontaminate, language_model, licenses, mixing, pii, resemblance, sentences, simhash, tokens, toxicity
 
 DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
@@ -122,7 +123,9 @@ def test_simhash_keeps_one_of_each_group(docs, made):
         assert r.doc_id == min((i for i in same if i is not None), default=None)
 
 
-def test_keep_one_by_shingles_loses_no_pair(spark):
+@pytest.mark.parametrize("crowd", [resemblance.CROWD, 0])  # 0: what two stars leave goes to the second prefix
+def test_keep_one_by_shingles_loses_no_pair(spark, monkeypatch, crowd):
+    monkeypatch.setattr(resemblance, "CROWD", crowd)
     rng = random.Random(11)
     line = prose(rng, 40)
     base = [" ".join(f"{rng.choice(WORDS)}{rng.randrange(60)}" for _ in range(rng.randint(3, 200))) for _ in range(25)]
@@ -150,6 +153,22 @@ def test_keep_one_by_shingles_loses_no_pair(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root.values()))
 
 
+def test_second_prefix_parts_texts_that_share_a_passage(spark):
+    rng = random.Random(3)
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(150)) + " " + passage for _ in range(120)]
+    texts += [texts[0] + " and more", texts[1].replace(" p59", " q59")]
+    every = {i: resemblance.shingles(t, 5) for i, t in enumerate(texts)}
+    rows = [(int(g), i, len(s), k, i) for i, s in every.items() for k, g in enumerate(
+        s[:len(s) - int(resemblance.least(len(s), 0.8)) + 1].view(np.int64))]
+    post = spark.createDataFrame(rows, "gram long, fp long, n int, pos int, root long")
+    frame = spark.createDataFrame(list(enumerate(texts)), "fp long, text string")
+    allowed = F.col("p.root") != F.col("q.root")
+    got = resemblance._remaining(post, frame, 5, 0.8, allowed, Scratch(spark, "test")).collect()
+    assert resemblance._joined(post, allowed).count() > 50_000
+    assert {(0, 120), (1, 121)} <= {(r.a, r.b) for r in got} and len(set(got)) < 500
+
+
 def test_sketches_never_pass_what_sets_differ_in():
     rng = np.random.default_rng(4)
     for _ in range(300):
