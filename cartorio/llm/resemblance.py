@@ -222,7 +222,7 @@ def _joined(post: DataFrame, allowed) -> DataFrame:
         F.col("p.fp") < F.col("q.fp")) & allowed).select(F.col("p.fp").alias("a"), F.col("q.fp").alias("b"))
 
 
-def _remaining(post: DataFrame, texts: DataFrame, words: int, similarity: float, allowed, scratch: Scratch) -> DataFrame:
+def _remaining(post: DataFrame, texts: DataFrame, words: int, similarity: float, allowed, scratch: Scratch):
     """``(a, b)`` of ``post(gram, fp, n, pos, root)``: all pairs of different roots that can be similar enough.
 
     A shingle with few such pairs for its texts gives them all. Texts of the others, crowded ones, are all texts that
@@ -243,7 +243,9 @@ def _remaining(post: DataFrame, texts: DataFrame, words: int, similarity: float,
         F.collect_list(F.struct("gram", "m")).alias("h")).select("fp", F.col("h.gram").alias("held"), F.col("h.m").alias("counts"))
     again = scratch.store(own.join(held, "fp", "left").select("fp", "root", "text", "held", "counts").mapInArrow(
         _second(words, similarity), "gram long, fp long, n int, pos int, root long"))
-    return pairs.unionByName(_joined(again, allowed))
+    scratch.drop(own)
+    scratch.drop(heavy)
+    return pairs.unionByName(_joined(again, allowed)), [crowds, again]
 
 
 def links(texts: DataFrame, words: int, similarity: float, scratch: Scratch, first: DataFrame | None = None):
@@ -292,8 +294,9 @@ def links(texts: DataFrame, words: int, similarity: float, scratch: Scratch, fir
         open_ = placed.withColumn("r", F.min("root").over(whole)).withColumn("s", F.max("root").over(whole)).where("r < s")
         open_ = scratch.store(open_.select(*columns, "root"))
         scratch.drop(shared)
+        done = []
         if way == "all":
-            pairs = _remaining(open_, texts, words, similarity, allowed, scratch)
+            pairs, done = _remaining(open_, texts, words, similarity, allowed, scratch)
         else:
             order = Window.partitionBy("gram").orderBy(*(["fp"] if way == "low" else [F.xxhash64("fp", "gram"), "fp"]))
             pairs = open_.select(F.struct("*").alias("q"), F.first(F.struct("*")).over(order).alias("p")).where(
@@ -303,6 +306,8 @@ def links(texts: DataFrame, words: int, similarity: float, scratch: Scratch, fir
             both = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
             pairs = pairs.join(both, ["a", "b"], "left_anti")
         pairs = scratch.store(pairs)
+        for t in done:
+            scratch.drop(t)
         alike = verified(_possible(pairs, sketches, similarity, scratch), texts, words, similarity, scratch)
         tried = pairs if tried is None else tried.unionByName(pairs)
         found = alike if found is None else found.unionByName(alike)

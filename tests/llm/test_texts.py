@@ -164,7 +164,7 @@ def test_second_prefix_parts_texts_that_share_a_passage(spark):
     post = spark.createDataFrame(rows, "gram long, fp long, n int, pos int, root long")
     frame = spark.createDataFrame(list(enumerate(texts)), "fp long, text string")
     allowed = F.col("p.root") != F.col("q.root")
-    got = resemblance._remaining(post, frame, 5, 0.8, allowed, Scratch(spark, "test")).collect()
+    got = resemblance._remaining(post, frame, 5, 0.8, allowed, Scratch(spark, "test"))[0].collect()
     assert resemblance._joined(post, allowed).count() > 50_000
     assert {(0, 120), (1, 121)} <= {(r.a, r.b) for r in got} and len(set(got)) < 500
 
