@@ -10,7 +10,8 @@ from cartorio.llm.common import Scratch, query, table
 DIMS = ("source", "lang", "topic")
 #: Share of a level is its token count to this power: 1 keeps the mix, 0 makes all levels equal.
 TEMPERATURES = {"source": 0.7, "lang": 0.7, "topic": 0.9}
-ROUNDS = 12
+#: Fitting ends when a round scales no level by more than this, and is an error after so many rounds.
+TOLERANCE, MOST_ROUNDS = 1e-9, 200
 _WORD = r"[^ \t\n\x0B\f\r]+"
 
 
@@ -42,16 +43,18 @@ def tempered(cells: DataFrame, temperatures: dict[str, float] = TEMPERATURES) ->
     return out
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], scratch: Scratch, rounds: int = ROUNDS) -> DataFrame:
+def rake(cells: DataFrame, targets: dict[str, DataFrame], scratch: Scratch, rounds: int | None = None) -> DataFrame:
     """``cells`` with ``weight``: tokens raked until every dimension has its target shares.
 
     ``cells`` has one row per combination of levels, with ``tokens`` above 0. A round scales the weights of each
     level of each dimension in turn, by a sum per level and a join. The table has a row per combination only; it is
     written after every round, the scales after every step. Levels without a target get none of the weight.
+    Rounds end when one changes no level's weight by more than ``TOLERANCE`` of it. Targets that cannot all be met
+    never come to that, which is an error after ``MOST_ROUNDS``; with ``rounds``, it ends after so many as it is.
     """
     held = {d: scratch.store(t.select(F.col("level").alias(d), "share")) for d, t in targets.items()}
     out = scratch.store(cells.withColumn("weight", F.col("tokens").cast("double")))
-    for _ in range(rounds):
+    for n in range(rounds or MOST_ROUNDS):
         before, scales = out, []
         for d in DIMS:
             scales.append(scratch.store(out.groupBy(d).agg(F.sum("weight").alias("now")).join(held[d], d, "left").select(
@@ -59,8 +62,14 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], scratch: Scratch, roun
                     F.lit(0.0)).alias("scale"))))
             out = out.join(scales[-1], d).withColumn("weight", F.col("weight") * F.col("scale")).drop("scale")
         out = scratch.store(out)
+        moved = 1.0 if not n else max(  # weights of the first round are token counts
+            s.where("scale > 0").agg(F.max(F.abs(F.col("scale") - 1))).first()[0] or 0.0 for s in scales)
         for done in [before, *scales]:
             scratch.drop(done)
+        if moved <= TOLERANCE:
+            return out
+    if rounds is None:
+        raise ValueError(f"the targets are not met after {MOST_ROUNDS} rounds: a round still moves weights by {moved:g}")
     return out
 
 
@@ -78,7 +87,7 @@ def draw(doc_id: str, seed: int) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / 4294967296.0
 
 
-def calibrate(sized: DataFrame, scratch: Scratch, temperatures=None, targets=None, rounds: int = ROUNDS) -> DataFrame:
+def calibrate(sized: DataFrame, scratch: Scratch, temperatures=None, targets=None, rounds=None) -> DataFrame:
     """Sampling probability per combination of levels, from rows with the levels and ``n_tokens``."""
     cells = scratch.store(sized.groupBy(*DIMS).agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0"))
     made = targets or tempered(cells, temperatures or TEMPERATURES)
@@ -121,8 +130,8 @@ def sample(docs: DataFrame, seed: int = 1, **how) -> DataFrame:
         *[F.col(f"_row.`{c}`") for c in names], F.col("_topic").alias("mix_topic"), "mix_probability")
 
 
-def oracle(rounds: int = ROUNDS, seed: int = 1) -> str:
-    """The same as SQL: one subquery per step of the fitting."""
+def oracle(rounds: int = 12, seed: int = 1) -> str:
+    """The same as SQL: one subquery per step of the fitting, in as many rounds as any test table needs."""
     steps, at = [], "w0"
     for r in range(rounds):
         for d in DIMS:
