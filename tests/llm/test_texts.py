@@ -231,6 +231,36 @@ def test_sentence_runs_equal_plain(spark):
     assert {r.doc_id: r.n_removed for r in got} == {i: len(gone.get(i, ())) for i, _ in rows}
 
 
+@pytest.mark.parametrize("ends", ["stops", "none", "inside"])
+def test_passages_that_begin_and_end_inside_sentences(spark, ends):
+    """Of equal passages of 51 words and more, all but words near the ends go, wherever sentences end."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghijklmno") for _ in range(rng.randint(2, 9)))
+
+    def some(n):
+        return [word() + ("." if ends == "stops" and rng.random() < 0.06 else "") for _ in range(n)]
+    rows, passages = [], {}
+    for i in range(0, 200, 2):
+        passages[i + 1] = some(rng.randint(51, 70))
+        if ends == "inside":  # one stop in the middle
+            passages[i + 1][25] += "."
+        rows += [(i + k, " ".join([*some(rng.randint(5, 90)), *passages[i + 1], *some(rng.randint(5, 90))])) for k in (0, 1)]
+    rows += [(1000 + i, " ".join(some(300))) for i in range(20)]
+    out = {r.doc_id: r for r in sentences.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(out[i].text == t for i, t in rows if i not in passages)
+    gone = {i: len(t.split()) - len(out[i].text.split()) for i, t in rows if i in passages}
+    assert all(gone[i] <= len(p) for i, p in passages.items())
+    assert sum(n == 0 for n in gone.values()) <= 4
+    assert sum(gone.values()) >= 0.8 * sum(len(p) for p in passages.values())
+    assert all(any(word not in out[i].text.split() for word in p) == (gone[i] > 0) for i, p in passages.items())
+
+
+def test_units_join_to_the_text(made):
+    for r in made:
+        parts, of = sentences.units(r[1])
+        assert "".join(parts) == (r[1] or "") and len(parts) == len(of) and of == sorted(of)
+
+
 # --- decontamination -----------------------------------------------------------------------------------------------
 
 
@@ -577,6 +607,16 @@ def test_mixing_given_targets_and_sample(spark, docs, made):
     assert mixing.sample(docs.limit(0), rounds=1).count() == 0
 
 
+def test_mixing_stops_at_the_tolerance_or_fails(spark, docs, monkeypatch):
+    made_ = {"source": [("s0", 0.6), ("nowhere", 0.4)], "lang": [("en", 1.0)], "topic": [("prose", 1.0)]}
+    targets = {d: spark.createDataFrame(v, "level string, share double") for d, v in made_.items()}
+    monkeypatch.setattr(mixing, "MOST_ROUNDS", 3)
+    with pytest.raises(ValueError, match="not met"):
+        mixing.mix(docs, targets=targets)
+    assert mixing.mix(docs, targets=targets, rounds=2).count() == docs.count()
+    assert mixing.mix(docs.limit(0)).count() == 0
+
+
 # --- language model ------------------------------------------------------------------------------------------------
 
 
