@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -15,8 +16,7 @@ from cartorio.llm.words import words_of
 GAP = 64
 _INDEX = ("segment string, ids array<bigint>, keys array<bigint>, sizes array<bigint>, "
           "terms binary, counts binary, positions binary")
-_FOUND = ("segment string, row int, doc_id long, key long, n_words long, "
-          "items array<string>, near array<string>, hits array<struct<s:int,e:int>>")
+_MATCHED = "segment string, row int, windows array<bigint>, near array<bigint>, hits array<struct<s:int,e:int>>"
 
 
 def _indexer(segment_words: int):
@@ -80,16 +80,42 @@ def _near(lists, span: int):
     return starts
 
 
-def _matcher(windows: list[tuple[list[bytes], list[str]]], slop: int):
-    def segment(row):
+def _terms(batches):
+    """Every term of a segment with its count."""
+    for b in batches:
+        for segment, terms, counts in zip(*(c.to_pylist() for c in b.columns)):
+            n = np.frombuffer(counts, "<i4")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([segment] * len(n), pa.string()), pa.array(terms.split(b" ") if len(n) else [], pa.binary()).cast(pa.string()),
+                 pa.array(n, pa.int32())], ["segment", "term", "n"])
+
+
+def _merged(spans):
+    out = []
+    for s, e in sorted(spans):
+        if out and s <= out[-1]["e"]:
+            out[-1]["e"] = max(e, out[-1]["e"])
+        else:
+            out.append({"s": s, "e": e})
+    return out
+
+
+def _match(slop: int):
+    """A segment and the windows asked of it: a row per document with the windows it has, exactly or nearby."""
+    def run(_, segment: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        names = ["segment", "row", "windows", "near", "hits"]
+        if not len(segment) or not len(asked):
+            return pd.DataFrame([], columns=names)
+        row = segment.iloc[0]
         sizes = np.array(row["sizes"], np.int64)
-        base = np.concatenate([[0], np.cumsum(sizes + GAP)[:-1]]) if len(sizes) else sizes
+        base = np.concatenate([[0], np.cumsum(sizes + GAP)[:-1]])
         counts = np.frombuffer(row["counts"], "<i4")
         ends = np.cumsum(counts, dtype=np.int64)
         where = np.frombuffer(row["positions"], "<i4").astype(np.int64)
-        of = {t: i for i, t in enumerate(row["terms"].split(b" "))} if len(counts) else {}
-        items, near, hits = {}, {}, {}
-        for words, names in windows:
+        of = {t: i for i, t in enumerate(bytes(row["terms"]).split(b" "))}
+        exact, near, hits = {}, {}, {}
+        for wid, window in zip(asked["wid"], asked["words"]):
+            words = bytes(window).split(b" ")
             if not all(w in of for w in words):
                 continue
             terms = [of[w] for w in words]
@@ -103,36 +129,13 @@ def _matcher(windows: list[tuple[list[bytes], list[str]]], slop: int):
                 if not len(starts):
                     break
             for s, d in zip(starts, np.searchsorted(base, starts, "right") - 1):
-                items.setdefault(d, set()).update(names)
+                exact.setdefault(d, set()).add(wid)
                 hits.setdefault(d, []).append((int(s - base[d]), int(s - base[d]) + len(words)))
             around = _near(sorted(lists.values(), key=len), len(words) + slop)
             for d in np.unique(np.searchsorted(base, np.maximum(around, 0), "right") - 1):
-                near.setdefault(d, set()).update(names)
-        return items, near, hits
-
-    def merged(spans):
-        out = []
-        for s, e in sorted(spans):
-            if out and s <= out[-1]["e"]:
-                out[-1]["e"] = max(e, out[-1]["e"])
-            else:
-                out.append({"s": s, "e": e})
-        return out
-
-    def run(batches):
-        hit = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
-        for b in batches:
-            for row in b.to_pylist():
-                items, near, hits = segment(row)
-                n = len(row["ids"])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([row["segment"]] * n), pa.array(range(n), pa.int32()),
-                    pa.array(row["ids"], pa.int64()), pa.array(row["keys"], pa.int64()),
-                    pa.array(row["sizes"], pa.int64()),
-                    pa.array([sorted(items.get(d, ())) for d in range(n)], pa.list_(pa.string())),
-                    pa.array([sorted(near.get(d, ())) for d in range(n)], pa.list_(pa.string())),
-                    pa.array([merged(hits.get(d, ())) for d in range(n)], hit)],
-                    ["segment", "row", "doc_id", "key", "n_words", "items", "near", "hits"])
+                near.setdefault(d, set()).add(wid)
+        return pd.DataFrame([(row["segment"], d, sorted(exact.get(d, ())), sorted(near.get(d, ())),
+                              _merged(hits.get(d, ()))) for d in sorted(exact.keys() | near.keys())], columns=names)
     return run
 
 
@@ -151,43 +154,80 @@ def _windows(size: int):
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """Distinct runs of ``window`` words of ``benchmark(item_id, text)``, with the ids of the items that have them.
+    """Distinct ``words, item``: runs of ``window`` words of ``benchmark(item_id, text)`` and an item that has them.
 
     A shorter item is one run, an item without words none. A NULL id is the empty id; repeated rows add nothing.
     """
     rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")), "text")
-    return rows.mapInArrow(_windows(window), "item string, words binary").groupBy("words").agg(
-        F.collect_set("item").alias("items"))
+    return rows.mapInArrow(_windows(window), "item string, words binary").distinct()
 
 
-def find(docs: DataFrame, benchmark: DataFrame, window: int = 10, slop: int = 2,
-         block: int = 100_000) -> DataFrame:
-    """For every row of ``docs(doc_id, text)``: ``doc_id, key, n_words, items, near, hits``.
+def _asked(index: DataFrame, windows: DataFrame, scratch: Scratch) -> DataFrame:
+    """``segment, wid, words``: the segments of ``index`` that hold the anchor of a window of ``windows(wid, words)``.
 
-    ``items`` have an exact window in the document, ``near`` have all words of a window, in any order, within
-    ``slop`` more words than it has. ``hits`` are the words inside exact windows, as merged spans ``s`` to ``e``.
-    Posting lists are intersected from the rarest term of the segment on, shifted by the term's place in the
-    window. The windows are sent to the tasks in blocks of about ``block``, each over the whole stored index, so
-    no broadcast grows with the benchmark. Repeated rows are found alike; other columns are ignored.
+    The anchor is the word of a window that all segments together have least; ties go by the word. Windows with a
+    word that no segment has are asked of none.
+    """
+    needed = scratch.store(windows.select("wid", F.explode(F.array_distinct(F.split(
+        F.col("words").cast("string"), " "))).alias("term")))
+    terms = index.select("segment", "terms", "counts").mapInArrow(_terms, "segment string, term string, n int")
+    present = scratch.store(terms.join(needed.select("term").distinct(), "term", "left_semi"))
+    total = present.groupBy("term").agg(F.sum("n").alias("n"))
+    anchors = needed.join(total, "term", "left").groupBy("wid").agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "term")).alias("a")).where("a.n > 0")
+    at = anchors.select("wid", F.col("a.term").alias("term")).join(present, "term").select("segment", "wid")
+    return scratch.store(at.join(windows, "wid").select("segment", "wid", "words"))
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, window: int = 10, slop: int = 2, block: int = 100_000):
+    """Three stored tables: ``segment, row, doc_id, key, n_words`` of all rows of ``docs(doc_id, text)``; ``segment,
+    row, windows, near, hits`` of those with windows; ``wid, item`` with the items that have a window.
+
+    Windows are joined to the segments that hold their rarest word, and only these look for them: posting lists are
+    intersected from the rarest term of the segment on, shifted by the term's place in the window. A segment that
+    is asked for more than ``block`` windows is given to several tasks. Item ids stay out of the tasks.
     """
     if window + slop > GAP:
         raise ValueError(f"a window and its slop hold at most {GAP} words")
     scratch = Scratch(docs.sparkSession, "decontaminate")
-    asked = scratch.store(benchmark_windows(benchmark, window))
-    blocks = max(1, -(-asked.count() // block))
+    pairs = scratch.store(benchmark_windows(benchmark, window))
+    windows = scratch.store(pairs.select("words").distinct().withColumn("wid", F.monotonically_increasing_id()))
+    owners = scratch.store(pairs.join(windows, "words").select("wid", "item"))
     index = scratch.store(positional_index(docs))
-    found = None
-    for n in range(blocks):
-        rows = asked.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == n).collect()
-        asking = [(bytes(r["words"]).split(b" "), list(r["items"])) for r in rows]
-        part = index.mapInArrow(_matcher(asking, slop), _FOUND)
-        found = part if found is None else found.unionByName(part)
-    if blocks > 1:
-        found = found.groupBy("segment", "row").agg(
-            F.first("doc_id").alias("doc_id"), F.first("key").alias("key"), F.first("n_words").alias("n_words"),
-            *[F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in ("items", "near")],
-            F.flatten(F.collect_list("hits")).alias("hits"))
-    return found.drop("segment", "row")
+    asked = _asked(index, windows, scratch)
+    parts = scratch.store(asked.groupBy("segment").agg(F.ceil(F.count("*") / block).cast("int").alias("parts")))
+    dealt = asked.join(parts, "segment").select(
+        "segment", F.pmod(F.xxhash64("wid"), "parts").cast("int").alias("part"), "wid", "words")
+    copies = index.select("segment", "sizes", "terms", "counts", "positions").join(parts, "segment").withColumn(
+        "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    found = scratch.store(copies.groupBy("segment", "part").cogroup(dealt.groupBy("segment", "part")).applyInPandas(
+        _match(slop), _MATCHED))
+    rows = index.select("segment", F.posexplode(F.arrays_zip("ids", "keys", "sizes")).alias("row", "d")).select(
+        "segment", "row", F.col("d.ids").alias("doc_id"), F.col("d.keys").alias("key"), F.col("d.sizes").alias("n_words"))
+    return rows, found, owners
+
+
+def find(docs: DataFrame, benchmark: DataFrame, window: int = 10, slop: int = 2,
+         block: int = 100_000) -> DataFrame:
+    """For every row of ``docs(doc_id, text)``: ``doc_id, key, n_words, items, near, hits``.
+
+    ``items`` have an exact window in the document, ``near`` have all words of a window, in any order, within
+    ``slop`` more words than it has. ``hits`` are the words inside exact windows, as spans ``s`` to ``e``. For the way
+    see ``matches``. Repeated rows are found alike, NULL and empty texts have no words; other columns are ignored.
+    """
+    rows, found, owners = matches(docs, benchmark, window, slop, block)
+    at = ["segment", "row"]
+    hits = found.groupBy(*at).agg(F.flatten(F.collect_list("hits")).alias("hits"))
+    # every exact match is a near one
+    named = found.select(*at, F.explode("near").alias("wid"), F.array_contains("windows", F.col("wid")).alias("exact")).join(
+        owners, "wid").groupBy(*at, "item").agg(F.max("exact").alias("exact"))
+    named = named.groupBy(*at).agg(
+        F.collect_list(F.when(F.col("exact"), F.col("item"))).alias("items"), F.collect_list("item").alias("near"))
+    out = rows.join(hits, at, "left").join(named, at, "left")
+    none = F.array().cast("array<string>")
+    return out.select("doc_id", "key", "n_words", F.coalesce("items", none).alias("items"),
+                      F.coalesce("near", none).alias("near"),
+                      F.coalesce("hits", F.array().cast("array<struct<s:int,e:int>>")).alias("hits"))
 
 
 def hit_words(hits: str):
@@ -200,11 +240,16 @@ def hit_words(hits: str):
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs`` whose text holds no exact window of the benchmark, all columns as they are."""
-    bad = find(docs, benchmark, **how).where(F.size("items") > 0).select(F.col("key").alias("_hit")).distinct()
+    """The rows of ``docs`` whose text holds no exact window of the benchmark, all columns as they are.
+
+    NULL and empty texts stay, repeated rows stay or go together; an empty table or benchmark takes none away.
+    """
+    rows, found, _ = matches(docs, benchmark, **how)
+    bad = rows.join(found.where(F.size("windows") > 0), ["segment", "row"], "left_semi").select(
+        F.col("key").alias("_hit")).distinct()
     bad = Scratch(docs.sparkSession, "decontaminate").store(bad)
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    return rows.join(bad, F.xxhash64("_row.text") == F.col("_hit"), "left_anti").select("_row.*")
+    kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    return kept.join(bad, F.xxhash64("_row.text") == F.col("_hit"), "left_anti").select("_row.*")
 
 
 @query("op5_decontamination")

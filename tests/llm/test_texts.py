@@ -298,6 +298,29 @@ def test_decontamination_equals_plain(spark, docs, made):
     assert decontaminate.find(docs.limit(0), bench).count() == 0
 
 
+def test_windows_are_asked_of_segments_that_have_their_rarest_word(spark):
+    docs = spark.createDataFrame([(1, "a a a a b b c"), (2, "a a a b"), (3, "c a"), (4, None)], "doc_id long, text string")
+    index = decontaminate.positional_index(docs.coalesce(1), segment_words=1)
+    windows = spark.createDataFrame([(1, b"a b"), (2, b"c a"), (3, b"a d"), (4, b"a")], "wid long, words binary")
+    rows = index.select("segment", F.col("ids")[0].alias("id")).collect()
+    of = {r.segment: r.id for r in rows}
+    got = decontaminate._asked(index, windows, Scratch(spark, "test")).collect()
+    assert sorted((r.wid, of[r.segment]) for r in got) == [(1, 1), (1, 2), (2, 1), (2, 3), (4, 1), (4, 2), (4, 3)]
+
+
+def test_a_preamble_of_all_items_and_a_very_long_text(spark):
+    rng = random.Random(6)
+    preamble = prose(rng, 15)
+    bench = spark.createDataFrame([(i, f"{preamble} {'x' * (i + 1)} {prose(rng, 12)}") for i in range(300)],
+                                  "item_id long, text string")
+    long = prose(rng, 60_000)
+    docs = spark.createDataFrame([(1, f"{long} {preamble} {long}"), (2, long), (3, preamble)], "doc_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.find(docs, bench).collect()}
+    assert [len(got[i]["items"]) for i in (1, 2, 3)] == [300, 0, 300]
+    assert got[1].n_words == sum(len(words_plain(x)) for x in (long, preamble, long))
+    assert [(h.s, h.e) for h in got[3].hits] == [(0, len(words_plain(preamble)))]
+
+
 def test_proximity_matches(spark):
     bench = spark.createDataFrame([(1, "red green blue")], "item_id long, text string")
     rows = [(1, "blue x red y green"), (2, "red green x x x blue"), (3, "red green blue"), (4, "red green")]
