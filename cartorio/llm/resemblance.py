@@ -17,6 +17,8 @@ DEALT = 64
 #: Pairs of texts of different components that a shingle may give for each of its texts; where it gives more, its
 #: texts get a second prefix.
 CROWD = 8
+#: One component in so many is counted to know which shingles crowd the second prefixes.
+COUNTED = 8
 _SLACK = 1e-9
 _POST = "fp long, n int, gram long, pos int"
 _PAIR = "a long, b long"
@@ -49,7 +51,7 @@ def _longs(x: np.ndarray):
 def _grams(words: int):
     def run(batches):
         for b in batches:
-            for text in b.column(0).to_pylist():
+            for text in b.column(b.num_columns - 1).to_pylist():
                 yield pa.RecordBatch.from_arrays([_longs(shingles(text, words))], ["gram"])
     return run
 
@@ -226,9 +228,11 @@ def _remaining(post: DataFrame, texts: DataFrame, words: int, similarity: float,
     """``(a, b)`` of ``post(gram, fp, n, pos, root)``: all pairs of different roots that can be similar enough.
 
     A shingle with few such pairs for its texts gives them all. Texts of the others, crowded ones, are all texts that
-    have one, so their pairs lie among these texts: their whole sets are counted, and they get prefixes in another
-    common order, shingles that more than ``CROWD`` of them have last and the rarer of these first. A passage in many
-    texts that are otherwise different is then in no prefix, as far as a text has enough besides it.
+    have one, so their pairs lie among these texts. They get prefixes in another common order: shingles that two or
+    more of the counted components have stand last, the rarer of these first. Counted are whole sets of shingles, one
+    text of every component and one component in ``COUNTED``, chosen by hash: counts only order the prefixes, and any
+    order is right. A passage in many texts that are otherwise different is then in no prefix, as far as a text has
+    enough besides it.
     """
     by_root = post.groupBy("gram", "root").agg(F.count("*").alias("k"))
     crowds = scratch.store(by_root.groupBy("gram").agg(
@@ -238,7 +242,9 @@ def _remaining(post: DataFrame, texts: DataFrame, words: int, similarity: float,
     members = post.join(crowds, "gram", "left_semi").select("fp", "root").distinct()
     own = scratch.store(texts.join(members, "fp").groupBy("fp", "root").agg(F.min("text").alias("text")))
     every = own.select("fp", "text").mapInArrow(_every(words), "fp long, gram long")
-    heavy = scratch.store(every.groupBy("gram").agg(F.count("*").alias("m")).where(f"m > {CROWD}"))
+    counted = own.where(F.pmod(F.xxhash64("root"), F.lit(COUNTED)) == 0).groupBy("root").agg(
+        F.min_by("text", "fp").alias("text")).mapInArrow(_grams(words), "gram long")
+    heavy = scratch.store(counted.groupBy("gram").agg(F.count("*").cast("int").alias("m")).where("m > 1"))
     held = every.join(heavy, "gram").groupBy("fp").agg(
         F.collect_list(F.struct("gram", "m")).alias("h")).select("fp", F.col("h.gram").alias("held"), F.col("h.m").alias("counts"))
     again = scratch.store(own.join(held, "fp", "left").select("fp", "root", "text", "held", "counts").mapInArrow(
