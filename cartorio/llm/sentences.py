@@ -33,17 +33,18 @@ def pieces(sentence: str) -> list[str]:
 
     Where a cut stands depends on a word and the one before it, so a passage is cut alike in any sentence.
     """
-    words = list(_WORD.finditer(sentence))
+    words = _WORD.findall(sentence)
     if len(words) < LONG:
         return [sentence]
+    words[0] = sentence[:len(sentence) - sum(map(len, words))] + words[0]  # white space before the first word
     out, start, before = [], 0, None
-    for m in words[:-1]:
-        word = m.group().rstrip(" \t\n\x0b\f\r")
+    for i, with_space in enumerate(words[:-1]):
+        word = with_space.strip(" \t\n\x0b\f\r")
         if word != before and zlib.crc32(word.encode()) % PIECE == 0:
-            out.append(sentence[start:m.end()])
-            start = m.end()
+            out.append("".join(words[start:i + 1]))
+            start = i + 1
         before = word
-    return [*out, sentence[start:]]
+    return [*out, "".join(words[start:])]
 
 
 def units(text: str | None) -> tuple[list[str], list[int]]:
