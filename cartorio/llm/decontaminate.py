@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,17 @@ _INDEX = ("segment string, ids array<bigint>, keys array<bigint>, sizes array<bi
 _MATCHED = "segment string, row int, windows array<bigint>, near array<bigint>, hits array<struct<s:int,e:int>>"
 
 
+def _pack(x: np.ndarray) -> bytes:
+    """32-bit numbers as compressed byte planes of their differences."""
+    steps = np.diff(x.astype("<i4"), prepend=np.int32(0)).astype("<i4")
+    return zstandard.compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+
+
+def _unpack(blob: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.decompress(bytes(blob)), np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(raw.T).view("<i4").ravel(), dtype=np.int64)
+
+
 def _indexer(segment_words: int):
     def run(batches):
         part, made = TaskContext.get().partitionId(), 0
@@ -33,8 +45,8 @@ def _indexer(segment_words: int):
             return pa.RecordBatch.from_arrays([
                 pa.array([f"{part}-{made}"]), pa.array([ids], pa.list_(pa.int64())),
                 pa.array([keys], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64())),
-                pa.array([b" ".join(of)]), pa.array([np.bincount(flat, minlength=len(of)).astype("<i4").tobytes()]),
-                pa.array([where[order].astype("<i4").tobytes()])],
+                pa.array([zstandard.compress(b" ".join(of), 1)]),
+                pa.array([_pack(np.bincount(flat, minlength=len(of)))]), pa.array([_pack(where[order])])],
                 ["segment", "ids", "keys", "sizes", "terms", "counts", "positions"])
 
         held = 0
@@ -84,10 +96,11 @@ def _terms(batches):
     """Every term of a segment with its count."""
     for b in batches:
         for segment, terms, counts in zip(*(c.to_pylist() for c in b.columns)):
-            n = np.frombuffer(counts, "<i4")
+            n = _unpack(counts)
+            names = zstandard.decompress(terms).split(b" ") if len(n) else []
             yield pa.RecordBatch.from_arrays(
-                [pa.array([segment] * len(n), pa.string()), pa.array(terms.split(b" ") if len(n) else [], pa.binary()).cast(pa.string()),
-                 pa.array(n, pa.int32())], ["segment", "term", "n"])
+                [pa.array([segment] * len(n), pa.string()), pa.array(names, pa.binary()).cast(pa.string()),
+                 pa.array(n.astype(np.int32))], ["segment", "term", "n"])
 
 
 def _merged(spans):
@@ -109,10 +122,9 @@ def _match(slop: int):
         row = segment.iloc[0]
         sizes = np.array(row["sizes"], np.int64)
         base = np.concatenate([[0], np.cumsum(sizes + GAP)[:-1]])
-        counts = np.frombuffer(row["counts"], "<i4")
-        ends = np.cumsum(counts, dtype=np.int64)
-        where = np.frombuffer(row["positions"], "<i4").astype(np.int64)
-        of = {t: i for i, t in enumerate(bytes(row["terms"]).split(b" "))}
+        counts, where = _unpack(row["counts"]), _unpack(row["positions"])
+        ends = np.cumsum(counts)
+        of = {t: i for i, t in enumerate(zstandard.decompress(bytes(row["terms"])).split(b" "))}
         exact, near, hits = {}, {}, {}
         for wid, window in zip(asked["wid"], asked["words"]):
             words = bytes(window).split(b" ")
