@@ -714,6 +714,42 @@ def test_seating_follows_the_posterior():
     assert np.abs(got - want).max() < 0.03
 
 
+@pytest.mark.parametrize("few", [1, 10 ** 9])
+def test_every_customer_is_reseated(monkeypatch, few):
+    """A few sweeps over dishes of 60 customers reach the exact law, moved side by side and dish by dish."""
+    monkeypatch.setattr(language_model, "FEW", few)
+    n, c, d, opening = 500, 60, 0.75, 4.0
+    law = np.zeros(c + 2)
+    law[1] = 1
+    for i in range(1, c):  # weights of table counts as customers come
+        law = np.append(0, law[:-1]) * opening + law * np.maximum(i - d * np.arange(c + 2), 0)
+    law /= law.sum()
+    s, rng = language_model.Seating.one_table(np.full(n, c)), np.random.default_rng(4)
+    for _ in range(8):
+        s.reseat(np.full(n, c), np.full(n, opening), d, rng)
+        assert (s.customers() == c).all()
+    mean = (law * np.arange(c + 2)).sum()
+    spread = ((law * np.arange(c + 2) ** 2).sum() - mean ** 2) ** 0.5
+    assert abs(s.tables().mean() - mean) < 5 * spread / n ** 0.5 and abs(s.tables().std() / spread - 1) < 0.2
+    # others come and leave until there are as many as wanted
+    wanted = np.arange(n) % 7
+    s.reseat(wanted, np.full(n, opening), d, rng)
+    assert (s.customers() == wanted).all() and (s.tables() <= wanted).all() and (s.size > 0).all()
+    s.reseat(np.full(n, 20), np.full(n, opening), d, rng)
+    assert (s.customers() == 20).all() and (np.diff(s.owner) >= 0).all()
+
+
+def test_a_sweep_moves_more_than_one_customer_of_a_dish():
+    types = np.array([[0, 0, 1], [97 * 257, 98 * 257, 99 * 257], [3000, 2000, 1]], np.int64)
+    b = language_model.Bucket(np.arange(2, dtype=np.uint64), types)
+    m = language_model.Totals([dict(zip(("level", "context", "customers", "tables"), r)) for r in b.totals()])
+    m.t2[:] = 30
+    b.sweep(m, np.random.default_rng(1))
+    assert (b.low.tables()[:2] > 4).all()
+    assert (b.low.customers() == types[2]).all() and b.middle.customers().sum() == b.low.tables().sum()
+    assert b.top.customers().sum() == b.middle.tables().sum()
+
+
 def test_packed_numbers():
     for x in ([], [0], [1, 2, 300, 70_000], [2 ** 64 - 1, 0, 5]):
         assert language_model.unpack(language_model.pack(np.array(x, np.uint64))).tolist() == x
