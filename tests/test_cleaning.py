@@ -181,3 +181,31 @@ def test_files_with_line_breaks_in_cells_are_split(spark, tmp_path, piece, endin
     assert tasks > {"400": 5, "1500": 2, "100000": 0}[piece]
     with pytest.raises(ValueError):
         scan_csv_split(spark, paths, ["a b", "d", "c"])
+
+
+def test_keep_first_moves_each_row_once(spark):
+    """The order travels in front of the row, not beside a second copy of it; types without an order still work."""
+    df = spark.createDataFrame(
+        [("a", 2, 0, "late", {"x": 1}), ("a", 1, 9, "first", {"y": 2}), ("b", 5, 5, None, None), (None, 3, 1, "n", None),
+         (None, 3, 0, "m", {})], "k string, s int, u int, v string, w map<string,int>")
+    for columns in (["k", "s", "u", "v"], ["v", "u", "k", "s"], ["k", "s", "u", "v", "w"]):
+        out = dedup_keep_first(df.select(columns), "k", ["s", "u"])
+        assert out.columns == columns
+        assert sorted((str(r.k), r.s, r.u, str(r.v)) for r in out.collect()) == [
+            ("None", 3, 0, "m"), ("a", 1, 9, "first"), ("b", 5, 5, "None")]
+    plan = dedup_keep_first(df.drop("w"), "k", ["s", "u"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "min_by" not in plan
+    assert dedup_keep_first(df.select("k"), "k", "k").count() == 3
+
+
+def test_rows_without_a_required_key_are_not_exchanged(spark):
+    raw = spark.createDataFrame(
+        [("NULL", "2020-01-01", 1), ("7", "bad", 2), ("7", "2020-01-02", 3), (" 8", "2020-01-03", 4)], "process_id string, data_distribuicao string, n int")
+    for name in silver.PROCESSES:
+        if name not in raw.columns:
+            raw = raw.withColumn(name, F.lit("x"))
+    raw = raw.withColumn("_seq", F.struct("n")).drop("n")
+    out = silver.clean_processes(raw)
+    assert [r.process_id for r in out.collect()] == ["8"]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" in plan[plan.index("Aggregate"):]

@@ -4,12 +4,14 @@ import csv
 import hashlib
 import json
 import os
+import random
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from cartorio.plans import exports, gold, kpis, listings, medallion, provenance, silver
-from cartorio.sources import manifest, published, sinks
+from cartorio.sources import bronze, manifest, published, sinks
 from cartorio.streaming import dedup, ingest
 
 CASE = {"numero_processo": "1", "classe_sigla": "hc", "classe_descricao": "Habeas Corpus", "assunto": "PENAL | X",
@@ -400,3 +402,25 @@ def test_only_an_absent_folder_reads_as_no_table(spark, tmp_path):
         spark.range(1).select(F.lit(None).cast(kind).alias("c")).write.parquet(f"{tmp_path}/silver/processos/batch_id={i}")
     with pytest.raises(Exception, match="(?i)merg|schema"):
         ingest.silver_table(spark, str(tmp_path), "processos")
+
+
+def test_raw_tables_of_one_source_are_sorted_once_before_they_are_text(spark, tmp_path):
+    from cartorio.bindings import cleaning as raw_tables
+    from cartorio.bindings import files
+
+    rng = random.Random(3)
+    lines = [(rng.randint(1, 40), rng.randint(1, 3), rng.randint(1, 99), rng.randint(1, 9), rng.uniform(1, 2),
+              date(2020, 1, rng.randint(1, 28)), "N", "O") for _ in range(300)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, "
+                          "l_shipdate date, l_returnflag string, l_linestatus string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    names = ["decisions", "remuneration", "budget"]
+    with files._sorted_rows(spark, str(tmp_path), names) as rows:
+        assert rows["decisions"] is rows["remuneration"] is rows["budget"]
+        for name in names:
+            raw = raw_tables.RAW[name]
+            path = files._write_csv(raw.frame(spark, str(tmp_path), rows[name]), f"{tmp_path}/raw/{name}")
+            key = next(iter(raw.columns))
+            want = [r[0] for r in raw.frame(spark, str(tmp_path)).orderBy("_seq").select(key).collect()]
+            alone = files.land_raw(spark, str(tmp_path), name, f"{tmp_path}/alone/{name}")
+            for at in (path, alone):
+                assert [r[0] for r in bronze.scan_csv_bronze(spark, at).orderBy("_seq").select(key).collect()] == want
