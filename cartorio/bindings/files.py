@@ -488,16 +488,18 @@ RULINGS = ingest.Feed(
 def _(spark, d):
     base, landing = scratch_path(spark, "lake"), scratch_path(spark, "landing")
     cases = dataclasses.replace(CASES, derive=silver.derive_processes)
-    raw = {"processos": c.RAW["processes"].frame(spark, d), "decisoes": c.RAW["decisions"].frame(spark, d)}
+    names = {"processos": "processes", "decisoes": "decisions"}
+    number = F.btrim("process_id", F.lit(fixed.WHITESPACE)).try_cast("bigint")
     counts = []
-    for run in (1, 2):
-        number = F.btrim("process_id", F.lit(fixed.WHITESPACE)).try_cast("bigint")
-        for name, df in raw.items():
-            land_csv(df.where(F.pmod(number, F.lit(2)) == run - 1), f"{landing}/{name}", [SEQ], "append")
-        ingest.ingest_all(spark, [(f"{landing}/processos", cases), (f"{landing}/decisoes", RULINGS)], base, f"{base}/gold")
-        # counted before the next run adds to the tables
-        gold = table_counts({n: published(spark, f"{base}/gold", n) for n in ("fact_processes", "fact_decisions")})
-        counts.append(spark.createDataFrame(gold.select(F.lit(run).alias("run"), "*").collect(), "run int, table_name string, n_rows bigint"))
+    with _sorted_rows(spark, d, list(names.values())) as rows:
+        for run in (1, 2):
+            for name, raw in names.items():
+                df = c.RAW[raw].frame(spark, d, rows[raw])
+                _write_csv(df.where(F.pmod(number, F.lit(2)) == run - 1), f"{landing}/{name}", "append")
+            ingest.ingest_all(spark, [(f"{landing}/processos", cases), (f"{landing}/decisoes", RULINGS)], base, f"{base}/gold")
+            # counted before the next run adds to the tables
+            gold = table_counts({n: published(spark, f"{base}/gold", n) for n in ("fact_processes", "fact_decisions")})
+            counts.append(spark.createDataFrame(gold.select(F.lit(run).alias("run"), "*").collect(), "run int, table_name string, n_rows bigint"))
     return counts[0].unionByName(counts[1])
 
 
