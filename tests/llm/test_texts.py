@@ -750,6 +750,24 @@ def test_a_sweep_moves_more_than_one_customer_of_a_dish():
     assert b.top.customers().sum() == b.middle.tables().sum()
 
 
+def test_seating_is_counted_once_for_all_segments(monkeypatch):
+    """Every segment asks of the same seating: its tables are not counted again for each of them."""
+    m = language_model.Totals([])
+    b = language_model.Bucket(np.arange(2, dtype=np.uint64), np.array([[0, 1], [97 * 257, 98 * 257], [5, 1]], np.int64))
+    word, two = np.array([0, 1, -1]), np.full(3, 97 * 257)
+    plain, seen, calls = b.predict(m, word, two), b.seen(m), []
+    monkeypatch.setattr(language_model.Seating, "tables", lambda self: calls.append(1))
+    assert (b.predict(m, word, two, seen) == plain).all() and not calls
+
+
+def test_stored_seats_are_the_same_seats():
+    rng = np.random.default_rng(1)
+    s = language_model.Seating.one_table(np.array([0, 5, 1, 0, 900, 0]))
+    s.reseat(np.array([0, 5, 1, 0, 900, 0]), np.full(6, 3.0), 0.75, rng)
+    again = language_model.Seating.unpacked(*s.packed())
+    assert again.dishes == 6 and (again.owner == s.owner).all() and (again.size == s.size).all()
+
+
 def test_packed_numbers():
     for x in ([], [0], [1, 2, 300, 70_000], [2 ** 64 - 1, 0, 5]):
         assert language_model.unpack(language_model.pack(np.array(x, np.uint64))).tolist() == x
