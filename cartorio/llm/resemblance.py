@@ -224,6 +224,12 @@ def _joined(post: DataFrame, allowed) -> DataFrame:
         F.col("p.fp") < F.col("q.fp")) & allowed).select(F.col("p.fp").alias("a"), F.col("q.fp").alias("b"))
 
 
+def _early(similarity: float, of: str = ""):
+    """Whether a shingle can be the first common one of its text and another that is no smaller (see ``links``)."""
+    n, pos = F.col(f"{of}n"), F.col(f"{of}pos")
+    return n - pos >= n * (2 * similarity / (1 + similarity)) - _SLACK
+
+
 def _remaining(post: DataFrame, texts: DataFrame, words: int, similarity: float, allowed, scratch: Scratch):
     """``(a, b)`` of ``post(gram, fp, n, pos, root)``: all pairs of different roots that can be similar enough.
 
@@ -232,13 +238,16 @@ def _remaining(post: DataFrame, texts: DataFrame, words: int, similarity: float,
     more of the counted components have stand last, the rarer of these first. Counted are whole sets of shingles, one
     text of every component and one component in ``COUNTED``, chosen by hash: counts only order the prefixes, and any
     order is right. A passage in many texts that are otherwise different is then in no prefix, as far as a text has
-    enough besides it.
+    enough besides it. Pairs of two late places are neither given nor counted.
     """
-    by_root = post.groupBy("gram", "root").agg(F.count("*").alias("k"))
+    by_root = post.groupBy("gram", "root").agg(
+        F.count("*").alias("k"), F.sum((~_early(similarity)).cast("long")).alias("l"))
     crowds = scratch.store(by_root.groupBy("gram").agg(
-        F.sum("k").alias("m"), F.sum(F.col("k") * F.col("k")).alias("same")).where(
-        f"m * m - same > {2 * CROWD} * m").select("gram"))
-    pairs = _joined(post.join(crowds, "gram", "left_anti"), allowed)
+        F.sum("k").alias("m"), F.sum(F.col("k") * F.col("k")).alias("same"),
+        F.sum("l").alias("late"), F.sum(F.col("l") * F.col("l")).alias("same_late")).where(
+        f"m * m - same - (late * late - same_late) > {2 * CROWD} * m").select("gram"))
+    either = _early(similarity, "p.") | _early(similarity, "q.")
+    pairs = _joined(post.join(crowds, "gram", "left_anti"), allowed & either)
     members = post.join(crowds, "gram", "left_semi").select("fp", "root").distinct()
     own = scratch.store(texts.join(members, "fp").groupBy("fp", "root").agg(F.min("text").alias("text")))
     every = own.select("fp", "text").mapInArrow(_every(words), "fp long, gram long")
@@ -266,6 +275,10 @@ def links(texts: DataFrame, words: int, similarity: float, scratch: Scratch, fir
     in different components are looked at, as far as sizes and places in the order allow them; where a shingle would
     give many such pairs, its texts are looked at by a second prefix (``_remaining``).
 
+    Places allow a pair at a shingle that can be the first one both have: all others they share come after it in both, so
+    enough must be left in either. Every similar pair has such a shingle, and later ones need not give it again. It stands
+    early in the smaller text; shingles that stand early in none are dropped with those that one text has.
+
     Before texts are compared, sketches of about a bit for each shingle rule out most pairs that are not similar:
     sets differ in at least as many shingles as their counts by class differ in parity.
 
@@ -276,8 +289,10 @@ def links(texts: DataFrame, words: int, similarity: float, scratch: Scratch, fir
     post = texts.mapInArrow(_prefixes(words, similarity, _frequent(texts, words)), _POST)
     by_gram = Window.partitionBy("gram").orderBy("fp")
     once = post.withColumn("last", F.lag("fp").over(by_gram)).where("last is null or last <> fp").drop("last")
+    whole = Window.partitionBy("gram")
     shared = scratch.store(once.withColumn("before", F.lag("fp").over(by_gram)).withColumn(
-        "after", F.lead("fp").over(by_gram)).where("before is not null or after is not null").drop("before", "after"))
+        "after", F.lead("fp").over(by_gram)).where("before is not null or after is not null").drop(
+        "before", "after").withColumn("early", F.max(_early(similarity)).over(whole)).where("early").drop("early"))
     sketches = scratch.store(texts.mapInArrow(_sketches(words), _SKETCH).groupBy("fp").agg(
         F.first("n").alias("n"), F.first("odd").alias("odd")))
     found = tried = roots = None
@@ -285,11 +300,10 @@ def links(texts: DataFrame, words: int, similarity: float, scratch: Scratch, fir
         tried = scratch.store(first.select("a", "b").where("a <> b").distinct())
         found = verified(_possible(tried, sketches, similarity, scratch), texts, words, similarity, scratch)
         roots = None if found.isEmpty() else components(found, scratch)
-    whole = Window.partitionBy("gram")
     total = F.col("p.n") + F.col("q.n")
-    common = F.least("p.pos", "q.pos") + F.least(F.col("p.n") - F.col("p.pos"), F.col("q.n") - F.col("q.pos"))
+    left = F.least(F.col("p.n") - F.col("p.pos"), F.col("q.n") - F.col("q.pos"))
     # J >= s: common >= s / (1 + s) of both sizes together
-    allowed = (F.col("p.root") != F.col("q.root")) & (common >= total * (similarity / (1 + similarity)) - _SLACK) & (
+    allowed = (F.col("p.root") != F.col("q.root")) & (left >= total * (similarity / (1 + similarity)) - _SLACK) & (
         F.least("p.n", "q.n") >= F.greatest("p.n", "q.n") * similarity - _SLACK)
     columns = ["gram", "fp", "n", "pos"]
     for way in ("low", "mixed", "all"):

@@ -169,6 +169,20 @@ def test_second_prefix_parts_texts_that_share_a_passage(spark):
     assert {(0, 120), (1, 121)} <= {(r.a, r.b) for r in got} and len(set(got)) < 500
 
 
+def test_texts_that_share_late_shingles_only_are_not_paired(spark, monkeypatch):
+    """Texts with 24 shingles of their own and 126 common ones have these in their prefixes, but too late for 0.8."""
+    rng = random.Random(6)
+    passage = " ".join(f"p{i}" for i in range(130))
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(20)) + " " + passage for _ in range(12)]
+    texts.append(texts[0].replace(texts[0].split()[3], "other"))
+    looked, possible = [], resemblance._possible
+    monkeypatch.setattr(resemblance, "_possible", lambda pairs, *rest: looked.extend(
+        (r.a, r.b) for r in pairs.collect()) or possible(pairs, *rest))
+    frame = spark.createDataFrame(list(enumerate(texts)), "fp long, text string")
+    found, _ = resemblance.links(frame, 5, 0.8, Scratch(spark, "test"))
+    assert {(r.a, r.b) for r in found.collect()} == {(0, 12)} == set(looked)
+
+
 def test_sketches_never_pass_what_sets_differ_in():
     rng = np.random.default_rng(4)
     for _ in range(300):
