@@ -183,6 +183,50 @@ def test_texts_that_share_late_shingles_only_are_not_paired(spark, monkeypatch):
     assert {(r.a, r.b) for r in found.collect()} == {(0, 12)} == set(looked)
 
 
+def test_copies_edited_too_much_are_not_paired_one_by_one(spark, monkeypatch):
+    """32 copies of each of 8 texts with one word of ten replaced in each, no two similar: few pairs for each of them."""
+    rng = random.Random(9)
+    texts = [" ".join(f"n{rng.randrange(10**6)}" if rng.random() < 0.1 else f"w{k}x{i}" for i in range(400))
+             for k in range(8) for _ in range(32)]
+    texts += [t + " and more" for t in texts[:3]]
+    sets = [resemblance.shingles(t, 5) for t in texts]
+    like = {(i, j) for j in range(len(texts)) for i in range(j) if (c := len(np.intersect1d(sets[i], sets[j]))) >= 0.8 * (
+        len(sets[i]) + len(sets[j]) - c)}
+    assert 3 <= len(like) < 100
+    made, joined = [], resemblance._joined
+    monkeypatch.setattr(resemblance, "_joined", lambda post, allowed: made.append(joined(post, allowed).count()) or joined(post, allowed))
+    monkeypatch.setattr(resemblance, "FREQUENT", 0)  # as where a sample of many texts does not see them
+    found, roots = resemblance.links(spark.createDataFrame(list(enumerate(texts)), "fp long, text string"), 5, 0.8, Scratch(spark, "test"))
+    root = roots_plain(list(range(len(texts))), lambda a, b: (min(a, b), max(a, b)) in like)
+    assert {(r.a, r.b) for r in found.collect()} <= like | {(b, a) for a, b in like}
+    assert {r.node: r.root for r in roots.collect()} == {i: r for i, r in root.items() if list(root.values()).count(r) > 1}
+    assert sum(made) < 8 * len(texts), made
+
+
+@pytest.mark.parametrize("similarity", [0.4, 0.6, 0.8, 0.95])
+def test_similar_texts_have_a_run_in_common_that_places_allow(similarity):
+    """The first common hash of two similar sets is given by both, where the places leave enough, early in the smaller."""
+    rng = np.random.default_rng(7)
+    t, seen = similarity / (1 + similarity), 0
+    while seen < 2000:
+        n = int(rng.integers(1, 14)) if rng.random() < 0.5 else int(rng.integers(1, 400))
+        x = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        kept = x[rng.random(len(x)) >= rng.random() * (1 - similarity)]
+        if rng.random() < 0.5:  # what differs stands first, in turn with what is common: the worst order
+            kept = np.r_[x[1:2 * (len(x) - len(kept)):2], x[2 * (len(x) - len(kept)):]]
+        y = np.unique(np.r_[kept, rng.integers(0, 1 << 63, rng.integers(0, max(1, int(len(x) * (1 - similarity))) + 1), dtype=np.uint64)])
+        c = len(np.intersect1d(x, y))
+        if not len(y) or c < similarity * (len(x) + len(y) - c) - 1e-9:
+            continue
+        seen += 1
+        (small, big) = (x, y) if len(x) <= len(y) else (y, x)
+        p, q = ({int(h): int(i) for h, i in zip(*resemblance._runs(g, similarity))} for g in (small, big))
+        n, m = len(small), len(big)
+        assert any(
+            min(n - p[h], m - q[h]) + min(p[h], q[h], (p[h] + q[h]) / 3) >= t * (n + m) - 1e-9 and p[h] <= n * (3 - 6 * t) + 1e-9
+            for h in p.keys() & q.keys())
+
+
 def test_sketches_never_pass_what_sets_differ_in():
     rng = np.random.default_rng(4)
     for _ in range(300):
