@@ -10,6 +10,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -826,6 +827,57 @@ def test_stored_seats_are_the_same_seats():
     assert again.dishes == 6 and (again.owner == s.owner).all() and (again.size == s.size).all()
 
 
+def test_whole_words_are_contexts(spark):
+    """Words that end alike have successors of their own."""
+    held = [("qab red",), ("qab blue",), ("zab red",), ("zab blue",)]
+    rows = [(i, t, False) for i, t in enumerate(["qab red", "zab blue"] * 50)] + [
+        (1000 + i, *t, True) for i, t in enumerate(held)]
+    got = language_model.score(spark.createDataFrame(rows, "doc_id long, text string, held_out boolean"), bucket=3)
+    red, blue, other_red, other_blue = (r.score for r in got.where("held_out").orderBy("doc_id").collect())
+    assert red > blue + 1 and other_blue > other_red + 1
+
+
+def test_contexts_of_words_add_up_to_one():
+    """Probabilities of all words and an unknown one after each word, before and after sweeps; customers are tables below."""
+    rng, n = np.random.default_rng(3), 30
+    hashes, classes = np.sort(rng.integers(0, 2 ** 63, 12).astype(np.uint64)), rng.integers(97, 99, 12) * 257
+    known = language_model.context_of(hashes, classes)
+    assert (language_model.two_of(known) == classes).all()
+    word, context = (x.ravel() for x in np.meshgrid(np.arange(n + 1), np.arange(12), indexing="ij"))
+    customers = np.where((word < n) & (context < 11), rng.integers(0, 40, len(word)) * rng.integers(0, 2, len(word)), 0)
+    customers[(word < n) & (context == 0)] = 1  # word n and the last context are in no training text
+    b = language_model.Pairs(np.arange(n + 1, dtype=np.uint64), known, np.array([word, context, customers]))
+    for _ in range(4):
+        m = language_model.Totals([dict(zip(("level", "context", "customers", "tables"), r)) for r in b.totals()])
+        assert (m.v, m.n) == (n, customers.sum())
+        c, t = b.shares()
+        above = b.above
+        assert np.allclose(above.of_types(m), above.predict(m, above.types[0], above.types[1]), rtol=1e-12)
+        assert np.allclose(np.bincount(context, b.predict(m, c, t)), 1, rtol=1e-9)
+        seats = [bytes(x) for x in b.seats()]
+        again = language_model.Pairs(b.words, known, b.types, seats)
+        assert again.seats() == seats and (again.predict(m, c, t) == b.predict(m, c, t)).all()
+        b.sweep(m, t, rng)
+        assert (b.low.customers() == customers).all()
+        assert b.above.low.customers().sum() == b.low.tables().sum()
+        assert b.above.middle.customers().sum() == b.above.low.tables().sum()
+        assert b.above.top.customers().sum() == b.above.middle.tables().sum()
+        assert b.low.tables().sum() > (customers > 0).sum()
+
+
+def test_restaurants_of_words_are_summed_over_buckets():
+    pack, unpack = language_model.pack, language_model.unpack
+    known = [np.array(x, np.uint64) << np.uint64(60) for x in ([1, 5, 12], [5, 6, 12, 15])]
+    shares = pd.DataFrame([r | {"bucket": i} for i, k in enumerate(known) for r in language_model._shares(
+        k, np.arange(len(k)) + 1, np.ones(len(k), int), 3)])
+    replies = pd.concat([language_model._summed((k,), g) for k, g in shares.groupby("shard")])
+    assert shares["shard"].nunique() > 1
+    for i, (customers, tables) in enumerate((([1, 3, 6], [1, 2, 2]), ([3, 2, 6, 4], [2, 1, 2, 1]))):
+        c, t = language_model._replied(replies[replies["bucket"] == i])
+        assert c.tolist() == customers and t.tolist() == tables
+    assert unpack(shares.iloc[0]["known"]).tolist() == (known[0][:2]).tolist()
+
+
 def test_packed_numbers():
     for x in ([], [0], [1, 2, 300, 70_000], [2 ** 64 - 1, 0, 5]):
         assert language_model.unpack(language_model.pack(np.array(x, np.uint64))).tolist() == x
