@@ -43,6 +43,28 @@ def test_cells(spark):
     assert got["2024-2-9"].d is None and got["2023-02-29"].d is None
 
 
+def test_cells_at_their_limits(spark):
+    """Numbers and dates that no cast could read are told by their shape; all others are read as before."""
+    numbers = ["9223372036854775807", "9223372036854775808", "-9223372036854775808", "-9223372036854775809",
+               "+" + "0" * 30 + "7", "0" * 40, "9" * 19, "9" * 20, "1" + "0" * 19, "-", "", None]
+    days = [f"{y:04d}-{m:02d}-{d:02d}" for y in (1900, 2000, 2023, 2024) for m in range(14) for d in range(33)]
+    c = F.col("c")
+    got = {r.c: (r.i, r.d) for r in spark.createDataFrame([(x,) for x in numbers + days], "c string").select(
+        "c", cells.safe_int(c).alias("i"), cells.safe_date(c).alias("d")).collect()}
+    for x in numbers:
+        n = int(x) if x and x != "-" else None
+        assert got[x][0] == (n if n is not None and -2 ** 63 <= n < 2 ** 63 else None)
+    for x in days:
+        try:
+            assert got[x][1] == date.fromisoformat(x)
+        except ValueError:
+            assert got[x][1] is None
+    # shapes that never fit are not tried: a cast that fails costs an exception
+    tried = spark.createDataFrame([("9" * 20,), ("2023-04-31",), ("2023-02-30",)], "c string").where(
+        c.rlike(cells._WHOLE) | c.rlike(cells._DATE))
+    assert tried.isEmpty()
+
+
 def test_processes_from_dirty_csv(spark, tmp_path):
     path = _csv(
         tmp_path,

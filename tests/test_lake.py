@@ -305,6 +305,14 @@ def test_file_hashes(spark, tmp_path):
     assert {r.file_path[-5:]: (r.file_hash_sha256, r.file_size_bytes) for r in bounded} == want
 
 
+def test_small_files_need_no_tasks_for_large_ones(spark, tmp_path):
+    (tmp_path / "f").mkdir()
+    (tmp_path / "f" / "a.csv").write_text("a")
+    plan = lambda df: df._jdf.queryExecution().toString()
+    assert "MapInArrow" not in plan(manifest.file_sha256(spark, str(tmp_path / "f")))
+    assert "MapInArrow" in plan(manifest.file_sha256(spark, str(tmp_path / "f"), cell=0))
+
+
 def test_manifest_skips_bad_lines(spark, tmp_path):
     good = {"dataset_name": "processos", "file_path": "/x", "row_count": 3, "extra": {"mode": "sample"}}
     (tmp_path / "m.jsonl").write_text("\n".join([json.dumps(good), "", "{broken", json.dumps({**good, "dataset_name": "o"})]))
